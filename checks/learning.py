@@ -1 +1,325 @@
-CHECKS = {}
+"""Features, evaluation, training and scoring."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from checks.tables import rounded, table
+from clickweir.ml import evaluate, features, train
+from clickweir.ml.scoring import score
+from clickweir.plans.training import run_training
+from clickweir.workspace import shared_dir
+
+
+def labelled(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with a quality label, as training rows."""
+    labels = table(spark, d, "labels").select(
+        "doc_id", F.col("quality").cast("double").alias("label")
+    )
+    return train.label_rows(table(spark, d, "documents"), labels, "doc_id")
+
+
+def string_index(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "lang", "source")
+    return features.index_categories(docs, ["lang", "source"])
+
+
+def one_hot(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "lang", "n_chars")
+    stages = features.feature_pipeline({"categorical": ["lang"], "numeric": ["n_chars"]})
+    rows = stages.fit(docs).transform(docs)
+    return rows.select("doc_id", F.array_position(vector_to_array("lang_encoded"), 1.0).alias("at"))
+
+
+def tokens(spark: SparkSession, d: str) -> DataFrame:
+    found = features.terms(table(spark, d, "documents"), "doc_id", "text", 1)
+    return found.groupBy("term").agg(F.sum("tf").alias("n"), F.count("*").alias("docs"))
+
+
+def bigrams(spark: SparkSession, d: str) -> DataFrame:
+    found = features.terms(table(spark, d, "documents"), "doc_id", "text", 2)
+    return found.groupBy("doc_id").agg(
+        F.sum("tf").alias("n"), F.count("*").alias("terms"), F.max("tf").alias("top")
+    )
+
+
+def tfidf(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(features.tfidf_table(table(spark, d, "documents"), "doc_id", "text"), 6)
+
+
+def mutual_information(spark: SparkSession, d: str) -> DataFrame:
+    rows = labelled(spark, d).select("label", "lang", "source")
+    return rounded(features.mutual_information(rows, ["lang", "source"], "label"), 8)
+
+
+def variance(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(features.variance_by_feature(table(spark, d, "embeddings"), "embedding"), 8)
+
+
+def scaled(spark: SparkSession, d: str) -> DataFrame:
+    rows = features.scale(table(spark, d, "lineitem"), ["l_quantity", "l_extendedprice"])
+    return rounded(
+        rows.select(
+            "l_orderkey",
+            F.col("scaled")[0].alias("quantity"),
+            F.col("scaled")[1].alias("price"),
+        )
+    )
+
+
+def quantile_buckets(spark: SparkSession, d: str) -> DataFrame:
+    rows = features.discretise(table(spark, d, "orders"), "o_totalprice", 10)
+    return rows.groupBy("o_totalprice_buckets").agg(F.count("*").alias("n"))
+
+
+def _vectors(spark, d):
+    values = F.col("embedding").cast("array<double>")
+    return table(spark, d, "embeddings").select(
+        "vec_id",
+        F.col("label").cast("double").alias("label"),
+        array_to_vector(values).alias("vector"),
+        array_to_vector(
+            F.transform(values, lambda x: F.when(x > 0, 1.0).otherwise(0.0))
+        ).alias("signs"),
+    )
+
+
+def components(spark: SparkSession, d: str) -> DataFrame:
+    rows = features.project(_vectors(spark, d), "vector", 4)
+    return rows.select("vec_id", F.size(vector_to_array("components")).alias("size"))
+
+
+def _selected(spark, d, method, k, column):
+    rows = _vectors(spark, d)
+    chosen = features.select_features(rows, method, k, features=column).transform(rows)
+    return chosen.select("vec_id", vector_to_array("selected").alias("selected"))
+
+
+def selected_chi_squared(spark: SparkSession, d: str) -> DataFrame:
+    return _selected(spark, d, "chi_squared", 10, "signs")
+
+
+def selected_mutual_info(spark: SparkSession, d: str) -> DataFrame:
+    return _selected(spark, d, "mutual_info", 10, "signs")
+
+
+def selected_by_variance(spark: SparkSession, d: str) -> DataFrame:
+    return _selected(spark, d, "variance_threshold", 0.016, "vector")
+
+
+def vector_information(spark: SparkSession, d: str) -> DataFrame:
+    rows = _vectors(spark, d)
+    names = [f"f{i}" for i in range(64)]
+    flat = rows.select("label", *[vector_to_array("signs")[i].alias(n) for i, n in enumerate(names)])
+    return rounded(features.mutual_information(flat, names, "label"), 8)
+
+
+def feature_vectors(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").withColumnRenamed("doc_id", "id")
+    kinds = features.roles_by_kind(features.column_roles(docs))
+    rows = features.feature_pipeline(kinds, bucketed=["n_chars"]).fit(docs).transform(docs)
+    return rows.select("id", F.size(vector_to_array("features")).alias("size"))
+
+
+# A model-free score and a stand-in prediction, so SQL can follow.
+
+
+def confusion_matrix(spark: SparkSession, d: str) -> DataFrame:
+    return evaluate.confusion(table(spark, d, "labels"), "quality", "toxic")
+
+
+def prediction_distribution(spark: SparkSession, d: str) -> DataFrame:
+    return evaluate.distribution(table(spark, d, "labels"), "toxic")
+
+
+def eval_metrics(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(evaluate.eval_table(table(spark, d, "labels"), "quality", "toxic"), 8)
+
+
+def threshold_curve(spark: SparkSession, d: str) -> DataFrame:
+    rows = labelled(spark, d).select("n_chars", "label")
+    return rounded(
+        evaluate.threshold_curve(rows, "n_chars", bins=200, low=0.0, high=4000.0), 8
+    )
+
+
+def _trained(spark, d, models=("logistic",), grids=None, path=None):
+    return run_training(
+        labelled(spark, d), path, key=["doc_id"], models=models, grids=grids
+    )
+
+
+def train_logistic(spark: SparkSession, d: str) -> DataFrame:
+    """Train, save, load, and score the whole table with the loaded model."""
+    _, _, folder = _trained(spark, d, path=shared_dir(spark, "models"))
+    model, _ = train.load(spark, folder)
+    return score(model, labelled(spark, d)).select("doc_id", "label", "prediction")
+
+
+SMALL_GRIDS = {
+    "logistic": {"regParam": [0.01, 0.1], "elasticNetParam": [0.8]},
+    "random_forest": {"maxDepth": [5], "numTrees": [20]},
+    "naive_bayes": {"smoothing": [1.0]},
+    "linear_svc": {"regParam": [0.1], "maxIter": [10]},
+    "gbt": {"maxDepth": [3], "maxIter": [5]},
+}
+
+
+def leaderboard(spark: SparkSession, d: str) -> DataFrame:
+    _, board, _ = _trained(spark, d, models=list(SMALL_GRIDS), grids=SMALL_GRIDS)
+    return board
+
+
+def feature_importance(spark: SparkSession, d: str) -> DataFrame:
+    rows = labelled(spark, d)
+    model, _, _ = _trained(spark, d)
+    return evaluate.importance(model, score(model, rows))
+
+
+def stable_split(spark: SparkSession, d: str) -> DataFrame:
+    left, right = train.split(table(spark, d, "documents"), ["doc_id"])
+    return (
+        left.select(F.lit("train").alias("part"), "doc_id")
+        .unionByName(right.select(F.lit("test").alias("part"), "doc_id"))
+    )
+
+
+_WORDS = r"""
+with words as (
+  select doc_id, list_filter(string_split_regex(lower(text), '\s'), lambda w: w <> '') as ws
+  from documents)
+"""
+
+_BIGRAMS = _WORDS + """,
+grams as (
+  select doc_id, unnest(list_transform(generate_series(1, len(ws) - 1),
+                                       lambda i: ws[i] || ' ' || ws[i + 1])) as term
+  from words),
+counted as (select doc_id, term, count(*) as tf from grams group by all)
+"""
+
+_CURVE = """
+with binned as (
+  select least(199, greatest(0, cast(floor(n_chars / 20.0) as integer))) as bin,
+    count(*) as n, sum(quality) as hits
+  from documents join labels using (doc_id) group by 1)
+select bin * 20.0 as threshold,
+  cast(sum(n) over w as bigint) as predicted_positive,
+  cast(sum(hits) over w as bigint) as true_positive,
+  round(sum(hits) over w / sum(n) over w, 8) as precision,
+  round(sum(hits) over w / sum(hits) over (), 8) as recall
+from binned window w as (order by bin desc)
+"""
+
+_MI = """
+pairs as (select feature, value, label, count(*) as n from long group by all),
+parts as (
+  select feature, n, sum(n) over (partition by feature) as total,
+    sum(n) over (partition by feature, value) as nv,
+    sum(n) over (partition by feature, label) as nl from pairs)
+select feature, round(sum(n / total * ln(n * total / (nv * nl))), 8) as mutual_information
+from parts group by feature
+"""
+
+_EVAL = """
+with classes as (select unnest([0, 1]) as c),
+per_class as (
+  select c, count(*) filter (where quality = c) as actual,
+    count(*) filter (where toxic = c) as predicted,
+    count(*) filter (where quality = c and toxic = c) as tp, count(*) as total
+  from labels, classes group by c),
+scores as (
+  select *, case when predicted > 0 then tp / predicted else 0 end as p,
+    case when actual > 0 then tp / actual else 0 end as r from per_class)
+select round(sum(tp) / max(total), 8) as accuracy,
+  round(sum(actual * case when p + r > 0 then 2 * p * r / (p + r) else 0 end) / max(total), 8)
+    as f1,
+  round(sum(actual * p) / max(total), 8) as weighted_precision,
+  round(sum(actual * r) / max(total), 8) as weighted_recall
+from scores
+"""
+
+CHECKS = {
+    "string_index": (
+        string_index,
+        """select doc_id, lang, source,
+             cast(dense_rank() over (order by lang) - 1 as double) as lang_indexed,
+             cast(dense_rank() over (order by source) - 1 as double) as source_indexed
+           from documents""",
+    ),
+    "one_hot": (
+        one_hot,
+        """select doc_id, dense_rank() over (order by lang) as at from documents""",
+    ),
+    "tokens": (
+        tokens,
+        _WORDS
+        + """select term, count(*) as n, count(distinct doc_id) as docs
+             from (select doc_id, unnest(ws) as term from words) group by term""",
+    ),
+    "bigrams": (
+        bigrams,
+        _BIGRAMS
+        + """select doc_id, cast(sum(tf) as bigint) as n, count(*) as terms, max(tf) as top
+             from counted group by doc_id""",
+    ),
+    "tfidf_exact": (
+        tfidf,
+        _BIGRAMS
+        + """, freq as (select term, count(*) as df from counted group by term)
+             select doc_id, term, tf, df,
+               round(tf * ln(((select count(*) from documents) + 1) / (df + 1)), 6) as tfidf
+             from counted join freq using (term)""",
+    ),
+    "mutual_information": (
+        mutual_information,
+        """with long as (
+             select 'lang' as feature, lang as value, quality as label
+               from documents join labels using (doc_id)
+             union all select 'source', source, quality
+               from documents join labels using (doc_id)),"""
+        + _MI,
+    ),
+    "vector_information": (
+        vector_information,
+        """with long as (
+             select 'f' || (i - 1) as feature, embedding[i] > 0 as value, label
+             from embeddings, (select unnest(generate_series(1, 64)) as i)),"""
+        + _MI,
+    ),
+    "variance_by_feature": (
+        variance,
+        """select cast(i - 1 as integer) as feature,
+             round(var_samp(cast(embedding[i] as double)), 8) as variance
+           from embeddings, (select unnest(generate_series(1, 64)) as i) group by i""",
+    ),
+    "scaled_features": (
+        scaled,
+        """select l_orderkey,
+             round(l_quantity / stddev_samp(l_quantity) over (), 4) as quantity,
+             round(l_extendedprice / stddev_samp(l_extendedprice) over (), 4) as price
+           from lineitem""",
+    ),
+    "quantile_buckets": (quantile_buckets, None),
+    "pca_components": (components, None),
+    "selected_chi_squared": (selected_chi_squared, None),
+    "selected_mutual_info": (selected_mutual_info, None),
+    "selected_by_variance": (selected_by_variance, None),
+    "feature_vectors": (feature_vectors, None),
+    "confusion_matrix": (
+        confusion_matrix,
+        "select quality, toxic, count(*) as n from labels group by all",
+    ),
+    "prediction_distribution": (
+        prediction_distribution,
+        "select toxic, count(*) as n from labels group by toxic",
+    ),
+    "eval_metrics": (eval_metrics, _EVAL),
+    "threshold_curve": (threshold_curve, _CURVE),
+    "stable_split": (stable_split, None),
+    "train_logistic": (train_logistic, None),
+    "leaderboard": (leaderboard, None),
+    "feature_importance": (feature_importance, None),
+}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -72,17 +74,26 @@ def start_pattern_stream(
     target: str,
     checkpoint: str,
     *,
-    pattern: tuple[str, ...] = schema.PURCHASE_PATTERN,
+    pattern: Sequence[str] = schema.PURCHASE_PATTERN,
+    duration: str = "20 minutes",
+    slide: str = "5 minutes",
     trigger: str | None = None,
 ) -> StreamingQuery:
-    """User windows that hold the purchase pattern, upserted per user and window."""
-    events = parse_envelope(messages)
-    matched = windows.match_all(windows.user_windows(events), pattern)
+    """User windows that hold the purchase pattern, upserted per user and window.
+
+    Update mode reports a match as soon as it is there and again when its
+    figures change; ``read_latest`` on ``(user_id, window_start)`` gives the
+    current state.
+    """
+    spans = windows.user_windows(
+        parse_envelope(messages), duration=duration, slide=slide, types=pattern
+    )
     return start(
         Sink(
             name="patterns",
-            df=matched,
+            df=windows.match_all(spans, pattern),
             checkpoint=f"{checkpoint}/patterns",
+            mode="update",
             batch=upsert_batch(f"{target}/patterns"),
             trigger=trigger,
         )

@@ -12,6 +12,9 @@ from clickweir import schema as schemas
 
 CORRUPT = "_malformed"
 
+# The JSON writer's own default stops at milliseconds.
+ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
 # Fixed defaults of the topic reader.
 KAFKA_DEFAULTS = {
     "startingOffsets": "latest",
@@ -54,7 +57,7 @@ def to_envelope(df: DataFrame, key: str, ts: str = "timestamp") -> DataFrame:
     """Rows as messages: ``key``, JSON ``value`` (both binary) and ``timestamp``."""
     return df.select(
         F.col(key).cast("string").cast("binary").alias("key"),
-        F.to_json(F.struct("*")).cast("binary").alias("value"),
+        F.to_json(F.struct("*"), {"timestampFormat": ISO_MICROS}).cast("binary").alias("value"),
         F.col(ts).alias("timestamp"),
     )
 
