@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from clickweir.sources.stream import ISO_MICROS
+
 
 @dataclass(frozen=True)
 class Sink:
@@ -49,6 +51,8 @@ def start(sink: Sink) -> StreamingQuery:
     if sink.batch:
         return writer.foreachBatch(sink.batch).start()
     writer = writer.format(sink.fmt)
+    if sink.fmt == "json" and "timestampFormat" not in sink.options:
+        writer = writer.option("timestampFormat", ISO_MICROS)
     if sink.partition_by:
         writer = writer.partitionBy(*sink.partition_by)
     return writer.start(sink.path) if sink.path else writer.start()
