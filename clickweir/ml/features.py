@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from clickweir.operators.joins import salted_join
 from clickweir.operators.quality import column_profile
+from clickweir.workspace import materialise
 
 
 def column_roles(
@@ -153,19 +154,20 @@ def index_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def words(text: Column) -> Column:
     """Lower-case words of a text, split at white space."""
-    return F.filter(F.split(F.lower(text), r"\s"), lambda word: word != "")
+    return F.array_remove(F.split(F.lower(text), r"\s+"), "")
 
 
 def ngrams(tokens: Column, n: int) -> Column:
     """Runs of ``n`` neighbouring words, joined by blanks."""
-    count = F.size(tokens) - (n - 1)
-    return F.when(
-        count > 0,
-        F.transform(
-            F.sequence(F.lit(1), count),
-            lambda at: F.array_join(F.slice(tokens, at, n), " "),
-        ),
-    ).otherwise(F.array().cast("array<string>"))
+    count = F.greatest(F.size(tokens) - (n - 1), F.lit(0))
+    joined = F.slice(tokens, 1, count)
+    for shift in range(2, n + 1):
+        joined = F.zip_with(
+            joined,
+            F.slice(tokens, shift, count),
+            lambda left, right: F.concat(left, F.lit(" "), right),
+        )
+    return joined
 
 
 def terms(df: DataFrame, key: str, text: str, n: int = 1) -> DataFrame:
@@ -184,11 +186,12 @@ def tfidf_table(
 ) -> DataFrame:
     """Exact tf-idf of every n-gram: ``(key, term, tf, df, tfidf)``, nothing hashed.
 
-    ``idf = ln((N + 1) / (df + 1))`` with N rows. Terms that make up more than
-    ``share`` of all (row, term) pairs are spread over several tasks in the
-    join that brings the document frequency back.
+    ``idf = ln((N + 1) / (df + 1))`` with N rows. The counts per row and term
+    are written once, since the frequencies and the result both need them.
+    Terms that make up more than ``share`` of them are spread over several
+    tasks in the join that brings the document frequency back.
     """
-    counted = terms(df, key, text, n)
+    counted = materialise(terms(df, key, text, n))
     frequency = counted.groupBy("term").agg(F.count("*").alias("df"))
     pairs = counted.agg(F.count("*")).scalar()
     hot = frequency.where(F.col("df") > F.lit(share) * pairs).select("term")

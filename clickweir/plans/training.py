@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from clickweir.ml import features as feat
 from clickweir.ml import train as training
+from clickweir.workspace import materialise
 
 
 def run_training(
@@ -25,9 +26,10 @@ def run_training(
     """Train on ``df`` and, given a ``path``, save; returns model, leaderboard and folder.
 
     A given ``test_df`` is used as it is; without one a fifth of the rows is
-    held back.
+    held back. Profiling and fitting read the rows many times, so whatever
+    ``df`` joins or filters runs once and is written down first.
     """
-    labelled = df.dropna(subset=["label"])
+    labelled = materialise(df.dropna(subset=["label"]))
     if test_df is None:
         train_df, test_df = training.split(labelled, key)
     else:
