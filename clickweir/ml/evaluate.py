@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickweir.functions.columns import ratio
@@ -86,16 +86,22 @@ def threshold_curve(
     at most ``bins`` rows and are exact at every threshold; scores outside
     ``[low, high)`` count in the outermost bins.
     """
-    width = (high - low) / bins
-    position = F.floor((F.col(score) - F.lit(low)) / F.lit(width))
-    bin_of = F.greatest(F.lit(0), F.least(F.lit(bins - 1), position)).cast("int")
+    def lower(number: Column) -> Column:
+        return F.lit(float(low)) + number * F.lit(float(high - low)) / F.lit(float(bins))
+
+    value = F.col(score).cast("double")
+    guess = F.floor((value - F.lit(float(low))) * F.lit(float(bins)) / F.lit(float(high - low)))
+    # The division may round across a bound; the bounds themselves decide.
+    above = (lower(guess + 1) <= value).cast("int")
+    below = (lower(guess) > value).cast("int")
+    bin_of = F.greatest(F.lit(0), F.least(F.lit(bins - 1), guess + above - below)).cast("int")
     counted = pred.groupBy(bin_of.alias("bin")).agg(
         F.count("*").alias("rows"), F.sum(F.col(label).cast("long")).alias("hits")
     )
     down = Window.orderBy(F.col("bin").desc())
     whole = Window.partitionBy()
     return counted.select(
-        (F.lit(low) + F.col("bin") * F.lit(width)).alias("threshold"),
+        lower(F.col("bin")).alias("threshold"),
         F.sum("rows").over(down).alias("predicted_positive"),
         F.sum("hits").over(down).alias("true_positive"),
         ratio(F.sum("hits").over(down), F.sum("rows").over(down)).alias("precision"),
