@@ -4,14 +4,43 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickweir.functions.columns import hash_bucket
 
-# Rows a side may have to be broadcast: with rows of about 100 bytes this
-# stays near 100 MB, well under what an executor holds.
+# What a side may have to be broadcast. Rows are checked first, since a count
+# is nearly free; then bytes, since rows may be wide.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 100 * 1024 * 1024
+
+
+def _width(name: str, kind: T.DataType) -> Column:
+    """Bytes a value takes: its own length, or 16 for the fixed-size types."""
+    value = F.col(name)
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = F.octet_length(value) + 16
+    elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        size = F.octet_length(F.to_json(F.struct(value))) + 16
+    else:
+        size = F.lit(16)
+    return F.coalesce(size, F.lit(16)).cast("long")
+
+
+def fits_broadcast(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> bool:
+    """Whether ``df`` is within both bounds.
+
+    The row count of a Parquet table comes from its footers; the columns are
+    only read, to measure them, once the rows are known to be few.
+    """
+    if df.count() > max_rows:
+        return False
+    widths = [_width(f.name, f.dataType) for f in df.schema.fields]
+    measured = df.agg(F.sum(sum(widths, F.lit(0).cast("long")))).first()[0]
+    return (measured or 0) <= max_bytes
 
 
 def lookup_join(
@@ -20,14 +49,15 @@ def lookup_join(
     on: Sequence[str],
     how: str = "inner",
     max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join a side that is expected to be small, and check that it is.
 
-    The lookup is counted first (for a Parquet table from the footers alone).
-    Within ``max_rows`` it is broadcast and ``df`` is not shuffled; beyond it
-    this is a sort-merge join that adaptive execution splits under skew.
+    Within the bounds of ``fits_broadcast`` the lookup is broadcast and ``df``
+    is not shuffled; beyond them this is a sort-merge join that adaptive
+    execution splits under skew.
     """
-    if lookup.count() <= max_rows:
+    if fits_broadcast(lookup, max_rows, max_bytes):
         lookup = F.broadcast(lookup)
     else:
         lookup = lookup.hint("merge")

@@ -134,7 +134,7 @@ def degraded_runs(
     n: int = 5,
     factor: float = 1.5,
     order: Sequence[str] = ("start_time",),
-    chunk: str = "1 day",
+    chunk: str = "1 hour",
 ) -> DataFrame:
     """Runs that took more than ``factor`` times the mean of the last ``n`` runs.
 

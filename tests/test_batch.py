@@ -362,6 +362,10 @@ def test_lookup_is_broadcast_only_when_small(spark, plan):
     assert "BroadcastHashJoin" in plan(joins.lookup_join(left, right, ["k"], max_rows=50))
     assert "SortMergeJoin" in plan(joins.lookup_join(left, right, ["k"], max_rows=49))
     assert "SortMergeJoin" in plan(joins.merge_join(left, right, ["k"]))
+    wide = right.withColumn("text", F.repeat(F.lit("x"), 1000))
+    assert "SortMergeJoin" in plan(joins.lookup_join(left, wide, ["k"], max_bytes=50_000))
+    assert joins.fits_broadcast(wide.limit(0))
+    assert joins.fits_broadcast(wide.withColumn("a", F.array("k")), max_bytes=60_000)
 
 
 def test_stats_stay_in_the_plan(spark, plan):
