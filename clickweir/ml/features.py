@@ -88,57 +88,55 @@ def feature_pipeline(
     Categories are indexed alphabetically and one-hot encoded, text becomes
     tf-idf over hashed n-grams without stop words, numbers go in as they are;
     those in ``bucketed`` also as quantile buckets. Rows with a null feature
-    are skipped. All categories share one indexer, so they are fitted in one
-    pass over the data.
+    are skipped. The text stages that need no fitting come first, so that the
+    fitted ones can start from stored term vectors; all categories share one
+    indexer and are fitted in one pass.
     """
-    stages: list = []
+    plain: list = []
+    fitted: list = []
     inputs: list[str] = []
+    stop_words = StopWordsRemover.loadDefaultStopWords(language)
+    for c in kinds.get("text", ()):
+        plain += [
+            Tokenizer(inputCol=c, outputCol=f"{c}_tokens"),
+            StopWordsRemover(
+                inputCol=f"{c}_tokens", outputCol=f"{c}_filtered", stopWords=stop_words
+            ),
+            NGram(n=ngram, inputCol=f"{c}_filtered", outputCol=f"{c}_ngrams"),
+            HashingTF(inputCol=f"{c}_ngrams", outputCol=f"{c}_tf", numFeatures=hashed_terms),
+        ]
+        fitted.append(IDF(inputCol=f"{c}_tf", outputCol=f"{c}_tfidf"))
+        inputs.append(f"{c}_tfidf")
     categories = list(kinds.get("categorical", ()))
     if categories:
         indexed = [f"{c}_indexed" for c in categories]
         encoded = [f"{c}_encoded" for c in categories]
-        stages.append(
+        fitted += [
             StringIndexer(
                 inputCols=categories,
                 outputCols=indexed,
                 handleInvalid="keep",
                 stringOrderType="alphabetAsc",
-            )
-        )
-        stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True))
+            ),
+            OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True),
+        ]
         inputs += encoded
-    inputs += list(kinds.get("numeric", ()))
     if bucketed:
         outputs = [f"{c}_buckets" for c in bucketed]
-        stages.append(
+        fitted.append(
             QuantileDiscretizer(
                 numBuckets=buckets, inputCols=list(bucketed), outputCols=outputs
             )
         )
         inputs += outputs
-    stop_words = StopWordsRemover.loadDefaultStopWords(language)
-    for c in kinds.get("text", ()):
-        stages += [
-            Tokenizer(inputCol=c, outputCol=f"{c}_tokens"),
-            StopWordsRemover(
-                inputCol=f"{c}_tokens", outputCol=f"{c}_filtered", stopWords=stop_words
-            ),
-            NGram(n=ngram, inputCol=f"{c}_filtered", outputCol=f"{c}_ngrams"),
-            HashingTF(
-                inputCol=f"{c}_ngrams", outputCol=f"{c}_tf", numFeatures=hashed_terms
-            ),
-            IDF(inputCol=f"{c}_tf", outputCol=f"{c}_tfidf"),
-        ]
-        inputs.append(f"{c}_tfidf")
-    stages.append(
-        VectorAssembler(inputCols=inputs, outputCol="raw_features", handleInvalid="skip")
-    )
-    stages.append(
+    inputs += list(kinds.get("numeric", ()))
+    last = [
+        VectorAssembler(inputCols=inputs, outputCol="raw_features", handleInvalid="skip"),
         StandardScaler(
             inputCol="raw_features", outputCol=output, withStd=True, withMean=False
-        )
-    )
-    return Pipeline(stages=stages)
+        ),
+    ]
+    return Pipeline(stages=[*plain, *fitted, *last])
 
 
 def index_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:

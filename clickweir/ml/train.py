@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from contextlib import ExitStack
 from datetime import datetime, timezone
+from itertools import takewhile
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
     GBTClassifier,
     LinearSVC,
@@ -87,6 +89,11 @@ def label_rows(df: DataFrame, labels: DataFrame, key: str) -> DataFrame:
     return df.join(labels, key).dropna(subset=["label"])
 
 
+def _needs_no_fit(stage) -> bool:
+    """True for a stage that maps one column without having seen any data."""
+    return isinstance(stage, Transformer) and stage.hasParam("inputCol") and stage.isSet("inputCol")
+
+
 def train(
     train_df: DataFrame,
     test_df: DataFrame,
@@ -102,8 +109,8 @@ def train(
 ) -> tuple[PipelineModel, DataFrame]:
     """The model with the best area under ROC on ``test_df``, and the leaderboard.
 
-    The feature stages never look at the label, so they are fitted once and the
-    folds only refit the classifier on the stored vectors;
+    The feature stages never look at the label, so they are fitted once, on
+    term vectors hashed once, and the folds only refit the classifier;
     ``features_per_fold=True`` refits them in every fold instead. Folds come
     from a hash of ``key``.
     """
@@ -111,19 +118,30 @@ def train(
     folded = train_df.withColumn(
         "fold", hash_bucket([F.lit(seed + 1), *[F.col(k) for k in key]], folds)
     )
-    prepared = None if features_per_fold else features.fit(folded)
-    if prepared is not None:
-        fit_on = prepared.transform(folded).select("features", "label", "fold")
-        test_on = prepared.transform(test_df).select("features", "label")
-    else:
-        fit_on, test_on = folded, test_df
+    stages = list(features.getStages())
+    shared: list = []
     results = []
-    with cached(fit_on) as fit_rows, cached(test_on) as test_rows:
+    with ExitStack() as stack:
+        if features_per_fold:
+            fit_on, test_on = folded, test_df
+        else:
+            lead = list(takewhile(_needs_no_fit, stages))
+            spent = [stage.getInputCol() for stage in lead]
+            # Word splitting and hashing once; only the hashed vectors are kept.
+            hashed = [
+                stack.enter_context(cached(PipelineModel(lead).transform(df).drop(*spent)))
+                for df in (folded, test_df)
+            ]
+            rest = Pipeline(stages=stages[len(lead) :]).fit(hashed[0])
+            shared = [*lead, *rest.stages]
+            fit_on = rest.transform(hashed[0]).select("features", "label", "fold")
+            test_on = rest.transform(hashed[1]).select("features", "label")
+        fit_rows = stack.enter_context(cached(fit_on))
+        test_rows = stack.enter_context(cached(test_on))
         for name in models:
             model = classifier(name)
-            stages = [model] if prepared is not None else [*features.getStages(), model]
             search = CrossValidator(
-                estimator=Pipeline(stages=stages),
+                estimator=Pipeline(stages=[model] if shared else [*stages, model]),
                 estimatorParamMaps=param_grid(model, grids.get(name, {})),
                 evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC"),
                 numFolds=folds,
@@ -145,7 +163,7 @@ def train(
         for name, metrics, best in results
     ]
     _, _, winner = max(results, key=lambda r: r[1]["auc"])
-    whole = PipelineModel([*(prepared.stages if prepared is not None else []), *winner.stages])
+    whole = PipelineModel([*shared, *winner.stages])
     spark = train_df.sparkSession
     columns = ", ".join(["model string", *[f"{m} double" for m in METRICS], "params string"])
     return whole, spark.createDataFrame(board, columns).orderBy(F.desc("auc"), "model")
