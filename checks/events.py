@@ -128,7 +128,7 @@ def multi_day_scan(spark: SparkSession, d: str) -> DataFrame:
     return days.agg(
         F.count("*").alias("n"),
         F.count("event_id").alias("keyed"),
-        F.lit(written).alias("written"),
+        F.lit(written).cast("long").alias("written"),
     )
 
 
@@ -148,7 +148,7 @@ def written_summary(spark: SparkSession, d: str) -> DataFrame:
     read = spark.read.parquet(path)
     return rounded(
         read.select(*summary.HOURLY_KEYS, "event_count", "total_amount").withColumn(
-            "rows_written", F.lit(count)
+            "rows_written", F.lit(count).cast("long")
         )
     )
 
@@ -162,7 +162,9 @@ def compacted(spark: SparkSession, d: str) -> DataFrame:
 
 def clustered(spark: SparkSession, d: str) -> DataFrame:
     path = shared_dir(spark, "clustered")
-    layout.cluster_table(table(spark, d, "lineitem"), ["l_shipdate", "l_orderkey"], path)
+    layout.cluster_table(
+        spark, f"{d}/lineitem.parquet", path, ["l_shipdate", "l_orderkey"], target_mb=1
+    )
     read = spark.read.parquet(path)
     return rounded(
         read.groupBy("l_shipdate").agg(

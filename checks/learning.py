@@ -205,7 +205,7 @@ with binned as (
   select least(199, greatest(0, cast(floor(n_chars / 20.0) as integer))) as bin,
     count(*) as n, sum(quality) as hits
   from documents join labels using (doc_id) group by 1)
-select bin * 20.0 as threshold,
+select cast(bin * 20 as double) as threshold,
   cast(sum(n) over w as bigint) as predicted_positive,
   cast(sum(hits) over w as bigint) as true_positive,
   round(sum(hits) over w / sum(n) over w, 8) as precision,

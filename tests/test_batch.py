@@ -430,10 +430,23 @@ def test_compaction_keeps_rows_and_cuts_files(spark, tmp_path):
     assert len(spark.read.parquet(by).inputFiles()) == 3
 
 
-def test_cluster_and_sort(spark, tmp_path):
-    path = str(tmp_path / "c")
-    layout.cluster_table(spark.range(100).orderBy(F.rand(1)), ["id"], path)
-    assert spark.read.parquet(path).count() == 100
+def test_clustering_splits_a_hot_value(spark, tmp_path):
+    source, target = str(tmp_path / "s"), str(tmp_path / "c")
+    rows = spark.range(400_000).select(
+        F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 10).alias("k"),
+        F.xxhash64("id").alias("v"),
+    )
+    rows.write.parquet(source)
+    assert layout.cluster_table(spark, source, target, ["k"], target_mb=1) == 400_000
+    files = spark.read.parquet(target).select("k", F.input_file_name().alias("f"))
+    sizes = [r["count"] for r in files.groupBy("f").count().collect()]
+    assert len(sizes) > 2 and max(sizes) < 2 * 400_000 / len(sizes)
+    assert files.where("k = 5").select("f").distinct().count() > 1
+    spread = files.groupBy("f").agg(F.count_distinct("k").alias("n"))
+    assert spread.agg(F.max("n")).first()[0] < 10
+
+
+def test_cached_lets_go(spark):
     with layout.cached(spark.range(5)) as held:
         assert held.storageLevel.useMemory
     assert not held.storageLevel.useMemory

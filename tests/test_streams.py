@@ -7,7 +7,6 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from clickweir import schema
 from clickweir.operators import alerts, clean, windows
@@ -218,3 +217,25 @@ def test_a_failing_start_stops_the_others(spark, feed, tmp_path):
     with pytest.raises(Exception):
         start_all([good, bad])
     assert not [q for q in spark.streams.active if q.name == "good"]
+
+
+def test_complete_mode_to_memory(spark, feed, tmp_path):
+    feed(1, [("a", 0, "VIEW", 1.0), ("b", 1, "SEARCH", 1.0)])
+    feed(2, [("c", 2, "VIEW", 1.0)])
+    counted = feed.events().groupBy("event_type").agg(F.count("*").alias("n"))
+    run(Sink("type_counts", counted, str(tmp_path / "c"), fmt="memory", mode="complete"))
+    got = spark.table("type_counts").collect()
+    assert {r["event_type"]: r["n"] for r in got} == {"VIEW": 2, "SEARCH": 1}
+
+
+def test_estimated_users_need_one_aggregate(spark, feed, tmp_path):
+    feed(1, [(i, i / 10, "VIEW", 2.0) for i in range(20)])
+    counted = windows.window_agg(
+        feed.events(), duration="5 minutes", slide=None, keys=["event_type"], exact_users=False
+    )
+    out = str(tmp_path / "out")
+    run(
+        Sink("estimate", counted, str(tmp_path / "c"), mode="update", batch=upsert_batch(out))
+    )
+    got = read_latest(spark, out, ["event_type", "window_start"]).collect()
+    assert [(r["event_count"], r["unique_users"], r["avg_amount"]) for r in got] == [(20, 1, 2.0)]
