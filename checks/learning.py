@@ -110,10 +110,10 @@ def selected_by_variance(spark: SparkSession, d: str) -> DataFrame:
 
 
 def vector_information(spark: SparkSession, d: str) -> DataFrame:
-    rows = _vectors(spark, d)
-    names = [f"f{i}" for i in range(64)]
-    flat = rows.select("label", *[vector_to_array("signs")[i].alias(n) for i, n in enumerate(names)])
-    return rounded(features.mutual_information(flat, names, "label"), 8)
+    long = _vectors(spark, d).select(
+        "label", F.posexplode(vector_to_array("signs")).alias("feature", "value")
+    )
+    return rounded(features.long_information(long, "label"), 8)
 
 
 def feature_vectors(spark: SparkSession, d: str) -> DataFrame:
@@ -285,7 +285,7 @@ CHECKS = {
     "vector_information": (
         vector_information,
         """with long as (
-             select 'f' || (i - 1) as feature, embedding[i] > 0 as value, label
+             select cast(i - 1 as integer) as feature, embedding[i] > 0 as value, label
              from embeddings, (select unnest(generate_series(1, 64)) as i)),"""
         + _MI,
     ),

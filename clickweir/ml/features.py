@@ -200,16 +200,21 @@ def tfidf_table(
 
 
 def mutual_information(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """``(feature, mutual_information)`` in nats of discrete columns with a label.
+    """``(feature, mutual_information)`` in nats of discrete columns with a label."""
+    long = df.select(
+        label, *[F.col(c).cast("string").alias(c) for c in features]
+    ).unpivot([label], list(features), "feature", "value")
+    return long_information(long, label)
+
+
+def long_information(long: DataFrame, label: str) -> DataFrame:
+    """Mutual information from rows of ``(feature, value, label)``.
 
     One pass folds the rows to (feature, value, label) counts. From those the
     joint and both marginal entropies come out of one grouping-sets aggregate:
     MI = ln N + (Σ n ln n over pairs - over values - over labels) / N, with no
     join and no window over a column's values.
     """
-    long = df.select(
-        label, *[F.col(c).cast("string").alias(c) for c in features]
-    ).unpivot([label], list(features), "feature", "value")
     pairs = (
         long.where(F.col("value").isNotNull() & F.col(label).isNotNull())
         .groupBy("feature", "value", label)
@@ -299,14 +304,11 @@ def select_features(
             featuresCol=features, outputCol=output, varianceThreshold=float(k)
         ).fit(df)
     if method == "mutual_info":
-        size = df.select(F.size(vector_to_array(features))).first()[0]
-        columns = [
-            vector_to_array(features)[i].alias(f"f{i}") for i in range(size)
-        ]
-        scores = mutual_information(
-            df.select(label, *columns), [f"f{i}" for i in range(size)], label
+        long = df.select(
+            label, F.posexplode(vector_to_array(features)).alias("feature", "value")
         )
+        scores = long_information(long, label)
         best = scores.orderBy(F.desc("mutual_information"), "feature").limit(int(k)).collect()
-        indices = sorted(int(r["feature"][1:]) for r in best)
+        indices = sorted(r["feature"] for r in best)
         return VectorSlicer(inputCol=features, outputCol=output, indices=indices)
     raise ValueError(f"unknown method {method!r}")

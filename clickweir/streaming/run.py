@@ -76,16 +76,23 @@ def start_all(sinks: Sequence[Sink]) -> list[StreamingQuery]:
 def wait_all(queries: Sequence[StreamingQuery], timeout: float) -> bool:
     """Wait up to ``timeout`` seconds for all to end; then stop what still runs.
 
-    True when all ended by themselves. A failed stream raises its error.
+    True when all ended by themselves. As soon as one fails, the others are
+    stopped and its error is raised.
     """
     deadline = time.monotonic() + timeout
     try:
-        ended = [
-            q.awaitTermination(max(1, int(deadline - time.monotonic()))) for q in queries
-        ]
+        while True:
+            for query in queries:
+                error = query.exception()
+                if error is not None:
+                    raise error
+            waiting = [query for query in queries if query.isActive]
+            left = deadline - time.monotonic()
+            if not waiting or left <= 0:
+                return not waiting
+            waiting[0].awaitTermination(max(0.1, min(1.0, left)))
     finally:
         stop_all(queries)
-    return all(ended)
 
 
 def stop_all(queries: Sequence[StreamingQuery]) -> None:

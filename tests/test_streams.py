@@ -239,3 +239,24 @@ def test_estimated_users_need_one_aggregate(spark, feed, tmp_path):
     )
     got = read_latest(spark, out, ["event_type", "window_start"]).collect()
     assert [(r["event_count"], r["unique_users"], r["avg_amount"]) for r in got] == [(20, 1, 2.0)]
+
+
+def test_a_failing_stream_stops_the_others_and_raises(spark, feed, tmp_path):
+    feed(1, [("a", 0, "VIEW", 1.0)])
+    endless = Sink(
+        "endless",
+        feed.events().select("event_id"),
+        str(tmp_path / "c1"),
+        path=str(tmp_path / "o1"),
+        trigger="1 second",
+    )
+    broken = Sink(
+        "broken",
+        feed.events().select(F.raise_error(F.lit("broken on purpose")).alias("x")),
+        str(tmp_path / "c2"),
+        fmt="memory",
+    )
+    queries = start_all([endless, broken])
+    with pytest.raises(Exception, match="broken on purpose"):
+        wait_all(queries, 120)
+    assert not any(q.isActive for q in queries)
