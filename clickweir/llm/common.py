@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,3 +47,8 @@ def fresh(name: str, *frames: DataFrame) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def send_code(module: str) -> None:
+    """Send this module's functions along with tasks, so workers need not have it installed."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
