@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickweir.llm.common import ascii_lower
+from clickweir.llm.common import ascii_lower, fresh
 from clickweir.operators.joins import fits_broadcast
 from clickweir.workspace import materialise
 
@@ -55,8 +55,9 @@ def item_windows(
         F.col(item_id).cast("string").alias("item"), word_list(F.col(text)).alias("w")
     ).where(F.size("w") > 0)
     n = F.least(F.size("w"), F.lit(window))
+    starts = F.sequence(F.lit(1), F.size("w") - n + 1)
     cut = items.select(
-        "item", F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.slice("w", i, n))).alias("words")
+        "item", F.explode(F.transform(starts, lambda i: F.slice("w", i, n))).alias("words")
     )
     cut = materialise(cut.distinct())
     windows = materialise(
@@ -136,6 +137,17 @@ def contamination(
     )
 
 
+def keep_clean(docs: DataFrame, benchmark: DataFrame, doc_id="doc_id", text="text", **options):
+    """``docs`` without the contaminated rows; same columns."""
+    found = contamination(docs, benchmark, doc_id, text, **options)
+    bad = materialise(found.where("contaminated").select("doc_id", "text_hash").distinct())
+    names = [fresh(n, docs) for n in ("hash_of_text", "bad_id", "bad_hash")]
+    on = F.col(doc_id).eqNullSafe(F.col(names[1])) & (F.col(names[0]) == F.col(names[2]))
+    bad = _small(bad.toDF(*names[1:]))
+    rows = docs.withColumn(names[0], F.xxhash64(F.col(text)))
+    return rows.join(bad, on, "left_anti").drop(names[0])
+
+
 def _null_safe(left: DataFrame, right: DataFrame, how: str = "left") -> DataFrame:
     """Join by document, where a null id equals a null id; the keys of ``left`` stay."""
     right = right.withColumnsRenamed({"doc_id": "other_id", "text_hash": "other_hash"})

@@ -4,17 +4,15 @@ Sources in code point order, null last, weigh 5, 2, 1 and so on again. Together
 they get a share of all words; no target exceeds twice the size of its source,
 and what is cut off is dealt out again by weight until no target is above.
 Within a source every document has the same expected copies (target / size of
-the source). Documents stand in a fixed order, their expected copies are summed
-up, one random offset of the source is added, and a document is emitted once
-for each whole number the sum crosses.
-
-The order is by size, as far as five significant bits, so that the words taken
-stay within about one large document of the target, and then by a hash. The
-prefix sum is distributed: rows are numbered within cells (source, size class,
-hash bucket), cells are counted, and the counts are summed up by bucket within
-a size class and by size class within a source. So no task needs all rows of a
-source: windows run over one cell, over the buckets of a size class, over the
-size classes of a source, and over the list of sources.
+the source). Documents stand in a fixed order, that of a hash; their expected
+copies are summed up, one random offset of the source is added, and a document
+is emitted once for each whole number the sum crosses. The offset is that one of
+``draws`` seeded random offsets whose mix has the words nearest to the target.
+
+The prefix sum is distributed: rows are numbered within cells (source, hash
+bucket), cells are counted, and the counts are summed up over the buckets of a
+source. So no task needs all rows of a source: windows run over one cell, over
+the 4096 buckets of a source, and over the list of sources.
 
 Defined results: a null text has size 0; documents of size 0 can be emitted and
 add no words; a null source is one source, last; repeated rows each count and
@@ -75,6 +73,22 @@ def source_targets(
     )
 
 
+def _offsets(draws: int, seed: int):
+    """``draws`` numbers in [0, 1) that depend on the source and the seed only."""
+
+    def drawn(i):
+        named = F.concat("src", F.lit(f"/{seed}/"), i.cast("string"))
+        return F.conv(F.substring(F.md5(named), 1, 8), 16, 10).cast("double") / float(2**32)
+
+    return F.transform(F.sequence(F.lit(1), F.lit(draws)), drawn)
+
+
+def _emitted(offset):
+    """Whole numbers that the sum crosses at a row."""
+    sofar = [F.floor(offset + F.col("rate") * (F.col("rank") - k)) for k in (0, 1)]
+    return sofar[0] - sofar[1]
+
+
 def copies(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -82,6 +96,7 @@ def copies(
     source: str = "source",
     keep: Sequence[str] = (),
     seed: int = 7,
+    draws: int = 64,
     **options,
 ) -> DataFrame:
     """Each row's size, its source's size and target, and how often the mix takes it.
@@ -89,7 +104,6 @@ def copies(
     ``keep`` names columns that come along in ``kept_columns``.
     """
     key = row_key(F.col(doc_id), F.col(text))
-    size = F.size(words(F.col(text))).cast("long")
     placed = docs.select(
         F.struct(*[F.col(c) for c in keep]).alias("kept_columns")
         if keep
@@ -98,49 +112,54 @@ def copies(
         F.col(source).alias("source"),
         F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("")).alias("src"),
         key.alias("key"),
-        size.alias("size"),
+        F.substring(key, 1, 3).alias("bucket"),
+        F.size(words(F.col(text))).cast("long").alias("size"),
     )
-    low = F.greatest(F.char_length(F.bin("size")) - 5, F.lit(0))
-    placed = placed.select(
-        "*",
-        F.call_function(
-            "shiftleft", F.call_function("shiftright", F.col("size"), low), low
-        ).alias("class"),
-        F.substring("key", 1, 3).alias("bucket"),
-    )
-    placed = materialise(placed)
-    cell = ["src", "class", "bucket"]
+    if not keep:
+        placed = materialise(placed)
+    cell = ["src", "bucket"]
     cells = materialise(
         placed.groupBy("source", *cell).agg(
             F.count("*").alias("rows"), F.sum("size").alias("words")
         )
     )
-
-    def so_far(*by: str):
-        return Window.partitionBy("src", *by[:-1]).orderBy(by[-1])
-
-    classes = cells.groupBy("src", "class").agg(F.sum("rows").alias("class_rows"))
-    classes = classes.withColumn(
-        "rows_before", F.sum("class_rows").over(so_far("class")) - F.col("class_rows")
-    ).drop("class_rows")
-    firsts = cells.withColumn(
-        "in_class", F.sum("rows").over(so_far("class", "bucket")) - F.col("rows")
-    ).join(classes, ["src", "class"])
-    firsts = firsts.select(*cell, (F.col("in_class") + F.col("rows_before")).alias("first"))
+    up_to = Window.partitionBy("src").orderBy("bucket")
+    firsts = cells.select(*cell, (F.sum("rows").over(up_to) - F.col("rows")).alias("first"))
     sizes = cells.groupBy("source", "src").agg(F.sum("words").alias("source_size"))
-    targets = materialise(source_targets(sizes, **options))
-    numbered = placed.withColumn(
-        "place", F.row_number().over(Window.partitionBy(*cell).orderBy("key"))
+    targets = source_targets(sizes, **options).withColumn("offsets", _offsets(draws, seed))
+    targets = materialise(targets)
+    place = F.row_number().over(Window.partitionBy(*cell).orderBy("key"))
+    ranked = (
+        placed.withColumn("place", place)
+        .join(firsts, cell)
+        .select(
+            "kept_columns", "doc_id", "src", "size", (F.col("first") + F.col("place")).alias("rank")
+        )
     )
-    joined = lookup_join(numbered.join(firsts, cell), targets, ["src"])
-    offset = F.conv(F.substring(F.md5(F.concat("src", F.lit(f"/{seed}"))), 1, 8), 16, 10)
-    offset = offset.cast("double") / F.lit(float(2**32))
-    rank = F.col("first") + F.col("place")
-    emitted = F.floor(offset + F.col("rate") * rank) - F.floor(
-        offset + F.col("rate") * (rank - 1)
+    ranked = materialise(ranked)
+    tried = lookup_join(ranked.select("src", "size", "rank"), targets, ["src"])
+    taken = tried.groupBy("src").agg(
+        *[
+            F.sum(F.col("size") * _emitted(F.get("offsets", F.lit(k)))).alias(f"taken{k}")
+            for k in range(draws)
+        ]
     )
-    return joined.select(
-        "kept_columns", "doc_id", "size", "source_size", "target", emitted.alias("copies")
+    misses = F.array(
+        *[
+            F.struct(F.abs(F.col(f"taken{k}") - F.col("target")), F.get("offsets", F.lit(k)))
+            for k in range(draws)
+        ]
+    )
+    best = taken.join(targets, "src").select(
+        "src", "source_size", "target", "rate", F.array_min(misses)["col2"].alias("offset")
+    )
+    return lookup_join(ranked, materialise(best), ["src"]).select(
+        "kept_columns",
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        _emitted(F.col("offset")).alias("copies"),
     )
 
 

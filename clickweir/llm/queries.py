@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from clickweir.llm import (
     contamination,
+    html,
     lines,
     mixing,
     pii,
@@ -79,6 +80,10 @@ def op5_lines(spark: SparkSession, d: str) -> DataFrame:
     return lines.line_report(table(spark, d, "documents"))
 
 
+def op6_html(spark: SparkSession, d: str) -> DataFrame:
+    return html.extract(table(spark, d, "pages"))
+
+
 def op7_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixing.copies(table(spark, d, "documents")).select(
         "doc_id",
@@ -115,6 +120,7 @@ CHECKS = {
     "op3_warc": (op3_warc, None),
     "op4_simhash": (op4_simhash, None),
     "op5_lines": (op5_lines, None),
+    "op6_html": (op6_html, None),
     "op7_mixing": (op7_mixing, None),
     "op8_pii": (op8_pii, None),
     "op9_tokens": (op9_tokens, None),
