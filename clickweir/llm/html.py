@@ -227,6 +227,10 @@ def _resolve(a: list, b: list) -> list:
     for one, other in ((a, b), (b, a)):
         if len(one) == 1 and isinstance(one[0], tuple) and other:
             sign, inner = one[0]
+            size = len(inner)
+            at = next((k for k in range(len(other)) if other[k : k + size] == list(inner)), None)
+            if at is not None:  # the other side has the stretch once, among more
+                return [*_optional(other[:at]), one[0], *_optional(other[at + size :])]
             if sign == "+" and _first(one[0]) == _first(other[0]):
                 return [("+", tuple(align(list(inner), other)))]
             if sign == "?":

@@ -14,6 +14,7 @@ from clickweir.llm import (
     html,
     lines,
     mixing,
+    oracles,
     pii,
     quality,
     secrets,
@@ -115,14 +116,14 @@ def op10_contamination(spark: SparkSession, d: str) -> DataFrame:
 
 
 CHECKS = {
-    "op1_quality": (op1_quality, None),
+    "op1_quality": (op1_quality, oracles.QUALITY),
     "op2_secrets": (op2_secrets, None),
     "op3_warc": (op3_warc, None),
     "op4_simhash": (op4_simhash, None),
     "op5_lines": (op5_lines, None),
     "op6_html": (op6_html, None),
-    "op7_mixing": (op7_mixing, None),
+    "op7_mixing": (op7_mixing, oracles.MIXING),
     "op8_pii": (op8_pii, None),
     "op9_tokens": (op9_tokens, None),
-    "op10_contamination": (op10_contamination, None),
+    "op10_contamination": (op10_contamination, oracles.CONTAMINATION),
 }
