@@ -15,12 +15,14 @@ from checks.learning import labelled
 from checks.tables import (
     CLEAN,
     PATTERN,
+    SHAPED,
     TIDY,
     events_shaped,
     plain_times,
     rounded,
     shape,
     stream,
+    table,
 )
 from checks.runs import ERRORS
 from checks.windows import (
@@ -42,6 +44,7 @@ from clickweir.sources.stream import parse_envelope, read_stream, split_malforme
 from clickweir.streaming.run import (
     Sink,
     fan_out,
+    logged_progress,
     progress_table,
     read_latest,
     start,
@@ -54,6 +57,12 @@ from clickweir.workspace import shared_dir
 TIMEOUT = 3600
 
 
+def finish(queries) -> None:
+    """Wait until all streams have taken what there is; a cut-off run is no result."""
+    if not wait_all(queries, TIMEOUT):
+        raise TimeoutError(f"streams still running after {TIMEOUT} seconds")
+
+
 def messages(spark: SparkSession, d: str) -> DataFrame:
     """The shaped events as a stream of messages."""
     tidy = shape(stream(spark, d, "events")).drop("tags").withColumn(
@@ -70,7 +79,7 @@ def drain(spark: SparkSession, df: DataFrame, fmt: str = "parquet", **options) -
     """Run ``df`` over all data there is and read back what it wrote."""
     base = shared_dir(spark, "stream")
     sink = Sink("drain", df, f"{base}/checkpoint", fmt=fmt, path=f"{base}/out", **options)
-    wait_all([start(sink)], TIMEOUT)
+    finish([start(sink)])
     return spark.read.format(fmt).schema(df.schema).load(f"{base}/out")
 
 
@@ -96,10 +105,10 @@ def user_windows(spark: SparkSession, d: str) -> DataFrame:
 def patterns(spark: SparkSession, d: str) -> DataFrame:
     """Update mode through upserts."""
     base = shared_dir(spark, "patterns")
-    query = plan.start_pattern_stream(
+    queries = plan.start_pattern_stream(
         messages(spark, d), base, f"{base}/checkpoint", pattern=PATTERN, **DAYS
     )
-    wait_all([query], TIMEOUT)
+    finish(queries)
     rows = read_latest(spark, f"{base}/patterns", ["user_id", "window_start"])
     return rounded(
         plain_times(
@@ -132,9 +141,9 @@ def upsert(spark: SparkSession, d: str) -> DataFrame:
         F.count("*").alias("n"), F.sum("amount").alias("total")
     )
     sink = Sink(
-        "upsert", daily, f"{base}/checkpoint", mode="update", batch=upsert_batch(f"{base}/out")
+        "upsert", daily, f"{base}/checkpoint", mode="update", batch=upsert_batch(f"{base}/out", f"{base}/checkpoint")
     )
-    wait_all([start(sink)], TIMEOUT)
+    finish([start(sink)])
     return rounded(plain_times(read_latest(spark, f"{base}/out", ["day"])))
 
 
@@ -176,7 +185,7 @@ def _broken(df: DataFrame) -> DataFrame:
     return df.withColumn(
         "value",
         F.when(at == 5, F.lit("not json {"))
-        .when(at == 6, F.regexp_replace(text, '"user_id":\\d+', '"user_id":"x"'))
+        .when(at == 6, F.regexp_replace(text, '"(user_id|n_chars)":\\d+', '"$1":"x"'))
         .when(at == 7, F.lit(None))
         .otherwise(text)
         .cast("binary"),
@@ -204,11 +213,18 @@ def quarantine(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _twice(df: DataFrame) -> DataFrame:
+    """Every message whose user id (the key) is odd comes twice."""
+    odd = F.col("key").cast("string").cast("long") % 2 == 1
+    copies = F.when(odd, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return df.withColumn("copy", F.explode(copies)).drop("copy")
+
+
 def all_outputs(spark: SparkSession, d: str) -> DataFrame:
-    """All outputs of the event job at once: rows per output."""
+    """All outputs of the event job at once, some messages sent twice: rows per output."""
     base = shared_dir(spark, "event-job")
-    sinks = plan.event_sinks(messages(spark, d), base, f"{base}/checkpoint")
-    wait_all(start_all(sinks), TIMEOUT)
+    sinks = plan.event_sinks(_twice(messages(spark, d)), base, f"{base}/checkpoint", delay="2 hours")
+    finish(start_all(sinks))
     counts = [
         spark.read.format(s.fmt)
         .schema(s.df.schema)
@@ -216,6 +232,7 @@ def all_outputs(spark: SparkSession, d: str) -> DataFrame:
         .agg(F.count("*").alias("n"))
         .select(F.lit(s.name).alias("output"), "n")
         for s in sinks
+        if s.name != "aggregations"
     ]
     united = counts[0]
     for part in counts[1:]:
@@ -231,9 +248,9 @@ def one_read(spark: SparkSession, d: str) -> DataFrame:
         "purchases": lambda df: clean.keep_types(df, ["PURCHASE"]).select("event_id", "amount"),
     }
     sink = Sink(
-        "fan-out", parsed(spark, d), f"{base}/checkpoint", batch=fan_out(outputs, f"{base}/out")
+        "fan-out", parsed(spark, d), f"{base}/checkpoint", batch=fan_out(outputs, f"{base}/out", f"{base}/checkpoint")
     )
-    wait_all([start(sink)], TIMEOUT)
+    finish([start(sink)])
     read = {name: spark.read.parquet(f"{base}/out/{name}") for name in outputs}
     return rounded(
         read["alerts"]
@@ -243,17 +260,24 @@ def one_read(spark: SparkSession, d: str) -> DataFrame:
 
 
 def progress(spark: SparkSession, d: str) -> DataFrame:
-    base = shared_dir(spark, "progress")
-    sink = Sink(
-        "progress",
-        windows.window_agg(parsed(spark, d), slide=None),
-        f"{base}/checkpoint",
-        path=f"{base}/out",
+    """Many small batches: every one of them is in the log."""
+    base, source = shared_dir(spark, "progress"), shared_dir(spark, "parts")
+    events_shaped(spark, d).select("timestamp", "user_id", "amount", "event_type").repartition(
+        25, "user_id"
+    ).write.parquet(source)
+    parts = read_stream(
+        spark,
+        "parquet",
+        {"maxFilesPerTrigger": "1"},
+        spark.read.parquet(source).schema,
+        source,
     )
-    query = start(sink)
-    wait_all([query], TIMEOUT)
-    return progress_table(spark, [query]).agg(
-        F.sum("input_rows").alias("input_rows"), F.sum("late_rows").alias("late_rows")
+    with logged_progress(spark, f"{base}/log"):
+        finish([start(Sink("progress", parts, f"{base}/checkpoint", path=f"{base}/out"))])
+    return progress_table(spark, f"{base}/log").agg(
+        F.sum("input_rows").alias("input_rows"),
+        F.sum("late_rows").alias("late_rows"),
+        (F.countDistinct(F.when(F.col("input_rows") > 0, F.col("batch_id"))) > 20).alias("all_batches"),
     )
 
 
@@ -272,35 +296,103 @@ def json_lines(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+_RESULT = T.StructType(
+    [
+        T.StructField("request_id", T.StringType()),
+        T.StructField("prediction", T.DoubleType()),
+        T.StructField("probability", T.ArrayType(T.DoubleType())),
+        T.StructField("prediction_timestamp", T.TimestampType()),
+        T.StructField("reason", T.StringType()),
+    ]
+)
+
+
+def _model(spark, d):
+    folder = run_training(labelled(spark, d), shared_dir(spark, "models"), key=["doc_id"])[2]
+    return train.load(spark, folder)
+
+
 def scores(spark: SparkSession, d: str) -> DataFrame:
-    """Train and save a model, then score every document as a request message."""
-    folder = run_training(
-        labelled(spark, d), shared_dir(spark, "models"), key=["doc_id"]
-    )[2]
-    model, request = train.load(spark, folder)
+    """Train and save a model, then score every document as a request message.
+
+    The stream must say what the loaded model says of the table.
+    """
+    model, request = _model(spark, d)
     requests = to_envelope(
         stream(spark, d, "documents").withColumn("at", F.current_timestamp()), "doc_id", "at"
     )
     replies = drain(spark, plan.score_messages(requests, model, request))
-    result = T.StructType(
-        [
-            T.StructField("request_id", T.StringType()),
-            T.StructField("prediction", T.DoubleType()),
-            T.StructField("probability", T.ArrayType(T.DoubleType())),
-            T.StructField("prediction_timestamp", T.TimestampType()),
-        ]
+    read = replies.select("key", F.from_json("value", _RESULT).alias("r"))
+    batch = model.transform(table(spark, d, "documents")).select(
+        F.col("doc_id").cast("string").alias("key"), F.col("prediction").alias("in_batch")
     )
-    read = replies.select("key", F.from_json("value", result).alias("r"))
-    return read.select(
+    sums = F.abs(F.aggregate("r.probability", F.lit(0.0), lambda a, b: a + b) - 1) < 1e-9
+    return read.join(batch, "key", "left").select(
         F.col("key").cast("long").alias("doc_id"),
         (F.col("r.request_id") == F.col("key")).alias("same_id"),
-        (F.abs(F.aggregate("r.probability", F.lit(0.0), lambda a, b: a + b) - 1) < 1e-9).alias(
-            "sums_to_one"
-        ),
-        F.col("r.prediction").isin(0.0, 1.0).alias("is_class"),
+        sums.alias("sums_to_one"),
+        (F.col("r.prediction") == F.col("in_batch")).alias("as_in_batch"),
+    )
+
+
+def scores_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """Some requests lack a feature, a value, or are no JSON: each is answered or rejected."""
+    model, request = _model(spark, d)
+    i = F.col("doc_id")
+    documents = stream(spark, d, "documents").withColumns(
+        {
+            "text": F.when(i % 10 != 3, F.col("text")),
+            "lang": F.when(i % 10 != 4, F.col("lang")),
+            "at": F.current_timestamp(),
+        }
+    )
+    requests = _broken(to_envelope(documents, "doc_id", "at"))
+    replies = drain(spark, plan.score_messages(requests, model, request))
+    rejected = drain(spark, plan.reject_messages(requests, model, request))
+    both = replies.unionByName(rejected).select("key", F.from_json("value", _RESULT).alias("r"))
+    return both.select(
+        F.col("key").cast("long").alias("doc_id"),
+        F.coalesce("r.reason", F.lit("scored")).alias("outcome"),
     )
 
 
+def complete_mode(spark: SparkSession, d: str) -> DataFrame:
+    """Counts of all there is so far, in complete mode to a memory table."""
+    base = shared_dir(spark, "complete")
+    name = f"type_counts_{base.rpartition('-')[2]}"
+    counted = parsed(spark, d).groupBy("event_type").agg(F.count("*").alias("n"))
+    finish([start(Sink(name, counted, f"{base}/checkpoint", fmt="memory", mode="complete"))])
+    return spark.table(name)
+
+
+def restarted(spark: SparkSession, d: str) -> DataFrame:
+    """The same stream started twice from one checkpoint: the second run adds what is new only."""
+    base, source = shared_dir(spark, "restart"), shared_dir(spark, "parts")
+    events = events_shaped(spark, d).select("event_id", "user_id", "event_type")
+    half = F.coalesce(F.col("user_id"), F.lit(0)) % 2
+    for part in (0, 1):
+        events.where(half == part).coalesce(1).write.mode("append").parquet(source)
+        parts = read_stream(spark, "parquet", None, events.schema, source)
+        finish([start(Sink("restart", parts, f"{base}/checkpoint", path=f"{base}/out"))])
+    return spark.read.parquet(f"{base}/out")
+
+
+def closing(spark: SparkSession, d: str) -> DataFrame:
+    """Windows a drained stream has written, and those it still held, from the stored events."""
+    base = shared_dir(spark, "closing")
+    events = parsed(spark, d).select("timestamp", "user_id", "amount", "event_type", "category")
+    sinks = [
+        Sink("closing_detail", events, f"{base}/c1", path=f"{base}/detail"),
+        Sink("closing_windows", windows.window_agg(events), f"{base}/c2", path=f"{base}/windows"),
+    ]
+    finish(start_all(sinks))
+    stored = spark.read.parquet(f"{base}/detail")
+    whole = windows.window_agg(stored)
+    written = spark.read.schema(whole.schema).parquet(f"{base}/windows")
+    still_open = windows.open_only(whole, stored, "timestamp", "10 minutes")
+    return rounded(plain_times(written.unionByName(still_open)))
+
+
 def closed(end: str, delay: str) -> str:
     return (
         f'where {end} <= (select date_trunc(\'milliseconds\', max("timestamp")) from tidy) '
@@ -329,7 +421,8 @@ CHECKS = {
     ),
     "stream_pattern_updates": (
         patterns,
-        user_windows_sql("1 day", 3, "3 day")
+        # Messages without a required field are rejected.
+        user_windows_sql("1 day", 3, "3 day", "event_id is not null and event_type is not null")
         + """select user_id, window_start, window_end, events_in_session, session_value,
              last_activity from user_windows where matched""",
     ),
@@ -374,12 +467,14 @@ CHECKS = {
     ),
     "stream_all_outputs": (
         all_outputs,
-        SLIDING
-        + "select 'aggregations' as output, count(*) as n from sliding "
-        + closed("window_end", "10 minute")
-        + """ union all select 'details', count(*) from tidy
-              union all select 'alerts', count(*) from tidy where amount > 10000
-              union all select 'rejected', 0""",
+        CLEAN
+        + """, doubled as (
+               select *, case when user_id % 2 = 1 then 2 else 1 end as copies from tidy)
+             select 'details' as output, count(*) as n from clean where event_type is not null
+             union all select 'alerts', count(*) from clean
+               where event_type is not null and amount > 10000
+             union all select 'rejected', sum(copies)::bigint from doubled
+               where event_id is null or user_id is null or event_type is null""",
     ),
     "stream_fan_out": (
         one_read,
@@ -391,7 +486,7 @@ CHECKS = {
     ),
     "stream_progress": (
         progress,
-        "select count(*) as input_rows, 0::bigint as late_rows from events",
+        TIDY + "select count(*) as input_rows, 0::bigint as late_rows, true as all_batches from tidy",
     ),
     "stream_json_lines": (
         json_lines,
@@ -399,7 +494,23 @@ CHECKS = {
     ),
     "stream_scores": (
         scores,
-        """select doc_id, true as same_id, true as sums_to_one, true as is_class
+        """select doc_id, true as same_id, true as sums_to_one, true as as_in_batch
            from documents""",
     ),
+    "stream_scores_rejects": (
+        scores_rejects,
+        """select doc_id, case when doc_id % 40 in (5, 6) then 'malformed'
+             when doc_id % 40 = 7 then 'empty'
+             when doc_id % 10 = 3 then 'missing feature' else 'scored' end as outcome
+           from documents""",
+    ),
+    "stream_complete_mode": (
+        complete_mode,
+        TIDY + "select event_type, count(*) as n from tidy group by event_type",
+    ),
+    "stream_restart": (
+        restarted,
+        SHAPED + "select event_id, user_id, event_type from shaped",
+    ),
+    "stream_closing_step": (closing, SLIDING + ROUND_SLIDING),
 }

@@ -11,10 +11,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from clickweir import schema
-from clickweir.ml.scoring import reply
+from clickweir.ml.scoring import reply, required_columns
 from clickweir.operators import alerts, clean, windows
 from clickweir.sources.stream import parse_envelope, split_malformed
-from clickweir.streaming.run import Sink, start, start_all, upsert_batch
+from clickweir.streaming.run import Sink, start_all, upsert_batch
 
 
 def event_sinks(
@@ -24,17 +24,20 @@ def event_sinks(
     *,
     fmt: str = "parquet",
     alert_threshold: float = 10000,
+    delay: str = "10 minutes",
     every: dict[str, str | None] | None = None,
 ) -> list[Sink]:
     """Window aggregates, enriched details, high-value alerts and rejected messages.
 
     ``every`` maps an output to its trigger interval; by default all are None,
-    that is: take what is there and stop.
+    that is: take what is there and stop. Repeated messages (same event id)
+    within ``delay`` count once in every output.
     """
     every = every or {}
     good, bad = split_malformed(parse_envelope(messages, keep_malformed=True))
+    good = clean.dedup_stream(good, ["event_id"], "timestamp", delay)
     outputs = {
-        "aggregations": (windows.window_agg(good), fmt, ()),
+        "aggregations": (windows.window_agg(good, delay=None), fmt, ()),
         "details": (clean.enrich_stream(good), fmt, ("event_date", "event_hour")),
         "alerts": (alerts.high_value(good, alert_threshold), "json", ()),
         "rejected": (bad, "json", ()),
@@ -78,36 +81,82 @@ def start_pattern_stream(
     duration: str = "20 minutes",
     slide: str = "5 minutes",
     trigger: str | None = None,
-) -> StreamingQuery:
+) -> list[StreamingQuery]:
     """User windows that hold the purchase pattern, upserted per user and window.
 
+    Malformed messages go to ``rejected`` beside them.
+
     Update mode reports a match as soon as it is there and again when its
     figures change; ``read_latest`` on ``(user_id, window_start)`` gives the
     current state.
     """
-    spans = windows.user_windows(
-        parse_envelope(messages), duration=duration, slide=slide, types=pattern
+    good, bad = split_malformed(parse_envelope(messages, keep_malformed=True))
+    spans = windows.user_windows(good, duration=duration, slide=slide, types=pattern)
+    return start_all(
+        [
+            Sink(
+                name="patterns",
+                df=windows.match_all(spans, pattern),
+                checkpoint=f"{checkpoint}/patterns",
+                mode="update",
+                batch=upsert_batch(f"{target}/patterns", f"{checkpoint}/patterns"),
+                trigger=trigger,
+            ),
+            Sink(
+                name="pattern_rejects",
+                df=bad,
+                checkpoint=f"{checkpoint}/pattern_rejects",
+                fmt="json",
+                path=f"{target}/rejected",
+                trigger=trigger,
+            ),
+        ]
     )
-    return start(
-        Sink(
-            name="patterns",
-            df=windows.match_all(spans, pattern),
-            checkpoint=f"{checkpoint}/patterns",
-            mode="update",
-            batch=upsert_batch(f"{target}/patterns"),
-            trigger=trigger,
-        )
+
+
+def split_requests(
+    messages: DataFrame, model: PipelineModel, request_schema: T.StructType
+) -> tuple[DataFrame, DataFrame]:
+    """Requests the model can score, and the rest with the reason.
+
+    A model skips rows with a null in a column it needs as it is (categories may
+    be null: an unknown one has an index of its own). Every request is in
+    exactly one of the two, so each gets an answer or a rejection.
+    """
+    parsed = parse_envelope(
+        messages, request_schema, key_name="request_id", keep_malformed=True
+    )
+    good, bad = split_malformed(parsed)
+    needed = [F.col(c) for c in required_columns(model) if c in request_schema.names]
+    incomplete = F.lit(False)
+    for column in needed:
+        incomplete = incomplete | column.isNull()
+    rejected = bad.select(
+        "request_id",
+        F.when(F.col("raw_value").isNull(), "empty").otherwise("malformed").alias("reason"),
+    ).unionByName(
+        good.where(incomplete).select("request_id", F.lit("missing feature").alias("reason"))
     )
+    return good.where(~incomplete), rejected
 
 
 def score_messages(
     messages: DataFrame, model: PipelineModel, request_schema: T.StructType
 ) -> DataFrame:
     """Scored requests as ``key, value`` messages (batch or stream)."""
-    requests = parse_envelope(messages, request_schema, key_name="request_id")
+    requests, _ = split_requests(messages, model, request_schema)
     return reply(model.transform(requests.drop("kafka_timestamp")), F.current_timestamp())
 
 
+def reject_messages(
+    messages: DataFrame, model: PipelineModel, request_schema: T.StructType
+) -> DataFrame:
+    """The requests ``score_messages`` does not answer, as ``key, value`` messages."""
+    _, rejected = split_requests(messages, model, request_schema)
+    value = F.to_json(F.struct("request_id", "reason")).alias("value")
+    return rejected.select(F.col("request_id").alias("key"), value)
+
+
 def start_scoring_stream(
     messages: DataFrame,
     model: PipelineModel,
@@ -118,16 +167,28 @@ def start_scoring_stream(
     fmt: str = "parquet",
     options: dict[str, str] | None = None,
     trigger: str | None = None,
-) -> StreamingQuery:
-    """Score requests as they come; ``fmt="kafka"`` with a topic option replies to a topic."""
-    return start(
-        Sink(
-            name="scores",
-            df=score_messages(messages, model, request_schema),
-            checkpoint=checkpoint,
-            fmt=fmt,
-            path=sink_path,
-            options=options or {},
-            trigger=trigger,
-        )
+    reject_options: dict[str, str] | None = None,
+) -> list[StreamingQuery]:
+    """Score requests as they come; ``fmt="kafka"`` with a topic option replies to a topic.
+
+    Requests that cannot be scored go to ``<sink_path>_rejected``, or to the
+    topic in ``reject_options``.
+    """
+    outputs = {
+        "scores": (score_messages, sink_path, options),
+        "score_rejects": (reject_messages, sink_path and f"{sink_path}_rejected", reject_options),
+    }
+    return start_all(
+        [
+            Sink(
+                name=name,
+                df=shape(messages, model, request_schema),
+                checkpoint=f"{checkpoint}/{name}",
+                fmt=fmt,
+                path=path,
+                options=given or {},
+                trigger=trigger,
+            )
+            for name, (shape, path, given) in outputs.items()
+        ]
     )

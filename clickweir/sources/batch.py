@@ -74,6 +74,24 @@ def read_permissive(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def skipped_files(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
+    """``(file, bytes)`` of the files below ``path`` that ``read_permissive`` takes no row from.
+
+    The listing less the files that rows came from; a file without rows is in it too.
+    """
+    listed = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", pattern)
+        .option("recursiveFileLookup", True)
+        .load(path)
+        .select(F.col("path").alias("file"), F.col("length").alias("bytes"))
+    )
+    read = read_permissive(spark, path).select(F.col("_metadata.file_path").alias("read")).distinct()
+    tail = "[^:]*:/*"  # the two sides may write the scheme in different ways
+    same = F.regexp_replace("file", f"^{tail}", "/") == F.regexp_replace("read", f"^{tail}", "/")
+    return listed.join(read, same, "left_anti")
+
+
 def read_training(spark: SparkSession, train: str, test: str, fallback: str) -> DataFrame:
     """Train and test tables united; where one cannot be read, whatever ``fallback`` holds."""
     probe = probe_paths(spark, [train, test])

@@ -15,18 +15,22 @@ CORRUPT = "_malformed"
 # The JSON writer's own default stops at milliseconds.
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
-# Fixed defaults of the topic reader.
+# Defaults of the topic reader: everything there is, no rate cap, and an error
+# instead of a gap where the topic has already dropped messages.
 KAFKA_DEFAULTS = {
-    "startingOffsets": "latest",
-    "maxOffsetsPerTrigger": "10000",
-    "failOnDataLoss": "false",
+    "startingOffsets": "earliest",
+    "failOnDataLoss": "true",
     "includeHeaders": "true",
     "kafka.security.protocol": "PLAINTEXT",
 }
 
 
 def topic_options(servers: str, topic: str, **overrides: str) -> dict[str, str]:
-    """Reader options for one topic: the defaults, changed by ``overrides``."""
+    """Reader options for one topic: the defaults, changed by ``overrides``.
+
+    A rate cap (``maxOffsetsPerTrigger``) is the caller's choice; with one, see
+    that triggers come often enough to keep up with the topic.
+    """
     return {
         **KAFKA_DEFAULTS,
         "kafka.bootstrap.servers": servers,
@@ -72,24 +76,34 @@ def parse_envelope(
 ) -> DataFrame:
     """Messages as typed columns, next to their key and arrival time.
 
-    With ``keep_malformed`` the text of a value that does not fit ``schema``
-    stays in ``_malformed`` for ``split_malformed``.
+    With ``keep_malformed`` the text of a value that does not fit ``schema``, or
+    lacks one of its required (not nullable) fields, stays in ``_malformed`` for
+    ``split_malformed``.
     """
     text = F.col("value").cast("string")
     options: dict[str, str] = {}
+    required = [f.name for f in schema.fields if not f.nullable]
     if keep_malformed:
         schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
         options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = df.select(
         F.col("key").cast("string").alias(key_name),
         F.from_json(text, schema, options).alias("data"),
+        text.alias("_text"),
         text.isNull().alias("_empty"),
         F.col("timestamp").alias(time_name),
     )
     columns = [F.col(key_name), F.col("data.*"), F.col(time_name)]
-    if keep_malformed:
-        columns.append(F.col("_empty"))
-    return parsed.select(*columns)
+    if not keep_malformed:
+        return parsed.select(*columns)
+    lacking = F.lit(False)
+    for name in required:
+        lacking = lacking | F.col(f"data.{name}").isNull()
+    kept = F.when(lacking & F.col(f"data.{CORRUPT}").isNull(), F.col("_text")).otherwise(
+        F.col(f"data.{CORRUPT}")
+    )
+    parsed = parsed.withColumn("data", F.col("data").withField(CORRUPT, kept))
+    return parsed.select(*columns, "_empty")
 
 
 def split_malformed(df: DataFrame) -> tuple[DataFrame, DataFrame]:

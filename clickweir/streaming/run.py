@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import json
 import time
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from clickweir.sources.stream import ISO_MICROS
 
@@ -101,16 +102,43 @@ def stop_all(queries: Sequence[StreamingQuery]) -> None:
             query.stop()
 
 
+def claim(spark: SparkSession, target: str, checkpoint: str) -> None:
+    """Note in ``target`` which stream writes it, or raise if another one does.
+
+    Batch numbers are only meaningful within one checkpoint: a second stream, or
+    the same one started over with a new checkpoint, would count from 0 again
+    and replace folders that are already there.
+    """
+    writer = spark.read.text(f"{checkpoint}/metadata").first()[0]
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/_writer")
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(path):
+        # Fails if another stream creates it meanwhile.
+        out = store.create(path, False)
+        out.write(bytearray(writer.encode()))
+        out.close()
+        return
+    data = store.open(path)
+    found = bytes(data.readAllBytes()).decode()
+    data.close()
+    if found != writer:
+        raise ValueError(f"{target} belongs to the stream {found}, not to {writer}")
+
+
 def fan_out(
-    outputs: Mapping[str, Callable[[DataFrame], DataFrame]], base: str, fmt: str = "parquet"
+    outputs: Mapping[str, Callable[[DataFrame], DataFrame]],
+    base: str,
+    checkpoint: str,
+    fmt: str = "parquet",
 ) -> Callable[[DataFrame, int], None]:
     """A micro-batch function that reads the source once and writes several outputs.
 
     Each output replaces its own ``batch_id`` folder, so a repeated batch
-    leaves the same files.
+    leaves the same files. ``base`` belongs to the stream of ``checkpoint``.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        claim(batch.sparkSession, base, checkpoint)
         held = batch.persist()
         try:
             for name, shape in outputs.items():
@@ -123,15 +151,19 @@ def fan_out(
     return write
 
 
-def upsert_batch(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
+def upsert_batch(
+    path: str, checkpoint: str, fmt: str = "parquet"
+) -> Callable[[DataFrame, int], None]:
     """A micro-batch function for update mode on plain files.
 
     Every batch writes only its changed rows, to its own ``batch_id`` folder;
     nothing written before is read or rewritten, and a repeated batch replaces
-    itself. ``read_latest`` gives the current row per key.
+    itself. ``read_latest`` gives the current row per key. ``path`` belongs to
+    the stream of ``checkpoint``.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        claim(batch.sparkSession, path, checkpoint)
         batch.write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
 
     return write
@@ -157,31 +189,82 @@ def collapse(spark: SparkSession, path: str, target: str, keys: Sequence[str]) -
     read_latest(spark, path, keys).write.mode("overwrite").parquet(f"{target}/batch_id=-1")
 
 
-def progress_table(spark: SparkSession, queries: Sequence[StreamingQuery]) -> DataFrame:
-    """One row per recent micro-batch: input, rates, watermark, state, dropped late rows.
+PROGRESS = (
+    "name string, batch_id long, at string, input_rows long, input_rate double, "
+    "processed_rate double, watermark string, state_rows long, late_rows long"
+)
 
-    Spark keeps the last 100 updates of each query by default, so this is small.
+
+class ProgressLog(StreamingQueryListener):
+    """Appends one row per micro-batch of every stream to a table.
+
+    Spark itself only remembers the last 100 updates of a stream. Rows are
+    written in groups of ``every``, and when a stream ends, so the driver holds
+    few of them. Register with ``spark.streams.addListener``.
     """
-    rows = []
-    for query in queries:
-        for update in query.recentProgress:
-            report = json.loads(update.json) if hasattr(update, "json") else update
-            states = report.get("stateOperators", [])
-            rows.append(
-                (
-                    report.get("name"),
-                    int(report["batchId"]),
-                    report["timestamp"],
-                    int(report["numInputRows"]),
-                    float(report.get("inputRowsPerSecond") or 0.0),
-                    float(report.get("processedRowsPerSecond") or 0.0),
-                    report.get("eventTime", {}).get("watermark"),
-                    sum(int(s["numRowsTotal"]) for s in states),
-                    sum(int(s["numRowsDroppedByWatermark"]) for s in states),
-                )
+
+    def __init__(self, spark: SparkSession, path: str, every: int = 200):
+        self._spark, self._path, self._every = spark, path, every
+        self._rows: list[tuple] = []
+        self._lock = Lock()
+        self.ended: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        report = event.progress
+        states = report.stateOperators
+        row = (
+            report.name,
+            int(report.batchId),
+            report.timestamp,
+            int(report.numInputRows),
+            float(report.inputRowsPerSecond or 0.0),
+            float(report.processedRowsPerSecond or 0.0),
+            report.eventTime.get("watermark"),
+            sum(int(s.numRowsTotal) for s in states),
+            sum(int(s.numRowsDroppedByWatermark) for s in states),
+        )
+        with self._lock:
+            self._rows.append(row)
+            full = len(self._rows) >= self._every
+        if full:
+            self.flush()
+
+    def onQueryTerminated(self, event) -> None:
+        self.flush()
+        self.ended.add(str(event.runId))
+
+    def flush(self) -> None:
+        """Write what has come in since the last time."""
+        with self._lock:
+            rows, self._rows = self._rows, []
+        if rows:
+            self._spark.createDataFrame(rows, PROGRESS).coalesce(1).write.mode("append").parquet(
+                self._path
             )
-    return spark.createDataFrame(
-        rows,
-        "name string, batch_id long, at string, input_rows long, input_rate double, "
-        "processed_rate double, watermark string, state_rows long, late_rows long",
-    )
+
+
+@contextmanager
+def logged_progress(spark: SparkSession, path: str, patience: float = 60) -> Iterator[ProgressLog]:
+    """A ``ProgressLog`` for the streams started inside the block, complete after it."""
+    log = ProgressLog(spark, path)
+    spark.streams.addListener(log)
+    try:
+        yield log
+        # Updates reach listeners a little after the stream; an end is the last of them.
+        deadline = time.monotonic() + patience
+        while spark.streams.active or time.monotonic() < deadline and not log.ended:
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(log)
+        log.flush()
+
+
+def progress_table(spark: SparkSession, path: str) -> DataFrame:
+    """One row per micro-batch: input, rates, watermark, state, dropped late rows."""
+    return spark.read.schema(PROGRESS).parquet(path)
