@@ -77,41 +77,62 @@ def threshold_curve(
     label: str = "label",
     *,
     bins: int = 1000,
-    low: float = 0.0,
-    high: float = 1.0,
+    low: float | None = None,
+    high: float | None = None,
 ) -> DataFrame:
     """Precision and recall at each threshold ``low + i * (high - low) / bins``.
 
+    ``low`` and ``high`` default to the least and the greatest score there is.
     The rows are folded to (bin, hits) counts first. The running sums then see
-    at most ``bins`` rows and are exact at every threshold; scores outside
-    ``[low, high)`` count in the outermost bins.
+    at most ``bins`` rows and are exact at every threshold. A score below
+    ``low`` or null is not above any threshold: it counts in the recall's
+    total only. One above ``high`` is above all of them.
     """
+    value = F.col(score).cast("double")
+    ends = pred.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))).scalar()
+    begin = ends["low"] if low is None else F.lit(float(low))
+    end = ends["high"] if high is None else F.lit(float(high))
+
     def lower(number: Column) -> Column:
-        return F.lit(float(low)) + number * F.lit(float(high - low)) / F.lit(float(bins))
+        return begin + number * (end - begin) / F.lit(float(bins))
 
-    value = F.col(score).cast("double")
-    guess = F.floor((value - F.lit(float(low))) * F.lit(float(bins)) / F.lit(float(high - low)))
+    width = F.when(end > begin, end - begin).otherwise(F.lit(1.0))
+    guess = F.floor((value - begin) * F.lit(float(bins)) / width)
     # The division may round across a bound; the bounds themselves decide.
     above = (lower(guess + 1) <= value).cast("int")
     below = (lower(guess) > value).cast("int")
-    bin_of = F.greatest(F.lit(0), F.least(F.lit(bins - 1), guess + above - below)).cast("int")
+    inside = F.when(end > begin, guess + above - below).otherwise(F.lit(bins - 1))
+    bin_of = F.when(value >= begin, F.least(F.lit(bins - 1), inside)).cast("int")
     counted = pred.groupBy(bin_of.alias("bin")).agg(
         F.count("*").alias("rows"), F.sum(F.col(label).cast("long")).alias("hits")
     )
-    down = Window.orderBy(F.col("bin").desc())
+    down = Window.orderBy(F.col("bin").desc_nulls_last())
     whole = Window.partitionBy()
-    return counted.select(
+    curve = counted.select(
+        "bin",
         lower(F.col("bin")).alias("threshold"),
         F.sum("rows").over(down).alias("predicted_positive"),
         F.sum("hits").over(down).alias("true_positive"),
         ratio(F.sum("hits").over(down), F.sum("rows").over(down)).alias("precision"),
         ratio(F.sum("hits").over(down), F.sum("hits").over(whole)).alias("recall"),
     )
+    return curve.where("bin is not null").drop("bin")
+
+
+def areas(pred: DataFrame, score: str, label: str = "label") -> DataFrame:
+    """One row: areas under the ROC and the precision-recall curve, over every distinct score."""
+    known = pred.select(F.col(score).cast("double").alias("score"), F.col(label).cast("double").alias("label"))
+    judge = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", numBins=0)
+    found = [
+        float(judge.setMetricName(name).evaluate(known.dropna()))
+        for name in ("areaUnderROC", "areaUnderPR")
+    ]
+    return pred.sparkSession.createDataFrame([tuple(found)], "auc double, pr_auc double")
 
 
 def evaluate(pred: DataFrame, label: str = "label") -> dict[str, float]:
     """All figures of one model: areas under ROC and PR, and ``eval_table``."""
-    raw = BinaryClassificationEvaluator(labelCol=label)
+    raw = BinaryClassificationEvaluator(labelCol=label, numBins=0)
     figures = {
         "auc": raw.setMetricName("areaUnderROC").evaluate(pred),
         "pr_auc": raw.setMetricName("areaUnderPR").evaluate(pred),

@@ -169,8 +169,14 @@ def ngrams(tokens: Column, n: int) -> Column:
 
 
 def terms(df: DataFrame, key: str, text: str, n: int = 1) -> DataFrame:
-    """``(key, term, tf)``: how often each n-gram occurs in each row's whole text."""
-    listed = df.select(key, words(F.col(text)).alias("_words"))
+    """``(key, term, tf)``: how often each n-gram occurs in each row's whole text.
+
+    The texts are dealt out by key before they are split. Spark then counts the
+    terms of a key where its text is, so the texts move once and the terms,
+    which are far more bytes, do not move at all.
+    """
+    dealt = df.select(key, text).repartition(key)
+    listed = dealt.select(key, words(F.col(text)).alias("_words"))
     found = F.col("_words") if n == 1 else ngrams(F.col("_words"), n)
     return (
         listed.select(key, F.explode(found).alias("term"))
@@ -220,6 +226,11 @@ def long_information(long: DataFrame, label: str) -> DataFrame:
         .groupBy("feature", "value", label)
         .agg(F.count("*").alias("n"))
     )
+    return _information(pairs, label)
+
+
+def _information(pairs: DataFrame, label: str) -> DataFrame:
+    """From ``(feature, value, label, n)`` counts: both marginals in one grouping-sets pass."""
     sets = [
         [F.col("feature"), F.col("value"), F.col(label)],
         [F.col("feature"), F.col("value")],
@@ -241,6 +252,39 @@ def long_information(long: DataFrame, label: str) -> DataFrame:
     )
 
 
+def vector_information(df: DataFrame, vectors: str, label: str) -> DataFrame:
+    """``(feature, mutual_information)`` of each position of a vector column of discrete values.
+
+    Only values other than zero become rows. How often a position is zero for a
+    label follows from the rows of that label: one more (feature, 0, label)
+    count per position, so a sparse vector costs its stored entries.
+    """
+    values = vector_to_array(vectors)
+    known = df.where(F.col(label).isNotNull() & F.col(vectors).isNotNull())
+    stored = F.filter(
+        F.transform(values, lambda x, i: F.struct(i.alias("feature"), x.alias("value"))),
+        lambda x: x["value"] != 0.0,
+    )
+    pairs = (
+        known.select(label, F.inline(stored))
+        .groupBy("feature", "value", label)
+        .agg(F.count("*").alias("n"))
+    )
+    totals = known.groupBy(label).agg(
+        F.count("*").alias("rows"), F.max(F.size(values)).alias("size")
+    )
+    positions = F.explode(F.sequence(F.lit(0), F.col("size") - 1)).alias("feature")
+    every = totals.select(label, "rows", positions)
+    met = pairs.groupBy("feature", label).agg(F.sum("n").alias("met"))
+    zeros = every.join(met, ["feature", label], "left").select(
+        "feature",
+        F.lit(0.0).alias("value"),
+        label,
+        (F.col("rows") - F.coalesce("met", F.lit(0))).alias("n"),
+    )
+    return _information(pairs.unionByName(zeros.where(F.col("n") > 0)), label)
+
+
 def variance_by_feature(df: DataFrame, vectors: str) -> DataFrame:
     """``(feature, variance)`` of each position of an array column, from one aggregate."""
     as_vector = array_to_vector(F.col(vectors).cast("array<double>"))
@@ -251,15 +295,18 @@ def variance_by_feature(df: DataFrame, vectors: str) -> DataFrame:
 
 
 def scale(df: DataFrame, columns: Sequence[str], output: str = "scaled") -> DataFrame:
-    """``columns`` divided by their sample deviation, as an array column."""
-    assembler = VectorAssembler(inputCols=list(columns), outputCol="_raw", handleInvalid="skip")
-    scaler = StandardScaler(inputCol="_raw", outputCol="_scaled", withStd=True, withMean=False)
-    fitted = Pipeline(stages=[assembler, scaler]).fit(df)
-    return (
-        fitted.transform(df)
-        .withColumn(output, vector_to_array("_scaled"))
-        .drop("_raw", "_scaled")
-    )
+    """``columns`` divided by their sample deviation, as an array column.
+
+    Every row stays: a null stays null, and does not count for its column's
+    deviation. A column that does not vary becomes 0.
+    """
+    deviations = df.agg(F.struct(*[F.stddev_samp(c).alias(c) for c in columns])).scalar()
+
+    def scaled(c: str) -> Column:
+        std = deviations.getField(c)
+        return F.when(std > 0, F.col(c) / std).when(F.col(c).isNotNull(), F.lit(0.0))
+
+    return df.withColumn(output, F.array(*[scaled(c).cast("double") for c in columns]))
 
 
 def project(df: DataFrame, vectors: str, k: int, output: str = "components") -> DataFrame:
@@ -304,10 +351,7 @@ def select_features(
             featuresCol=features, outputCol=output, varianceThreshold=float(k)
         ).fit(df)
     if method == "mutual_info":
-        long = df.select(
-            label, F.posexplode(vector_to_array(features)).alias("feature", "value")
-        )
-        scores = long_information(long, label)
+        scores = vector_information(df, features, label)
         best = scores.orderBy(F.desc("mutual_information"), "feature").limit(int(k)).collect()
         indices = sorted(r["feature"] for r in best)
         return VectorSlicer(inputCol=features, outputCol=output, indices=indices)

@@ -122,6 +122,7 @@ def train(
     shared: list = []
     results = []
     with ExitStack() as stack:
+        held = stack.enter_context(ExitStack())
         if features_per_fold:
             fit_on, test_on = folded, test_df
         else:
@@ -129,7 +130,7 @@ def train(
             spent = [stage.getInputCol() for stage in lead]
             # Word splitting and hashing once; only the hashed vectors are kept.
             hashed = [
-                stack.enter_context(cached(PipelineModel(lead).transform(df).drop(*spent)))
+                held.enter_context(cached(PipelineModel(lead).transform(df).drop(*spent)))
                 for df in (folded, test_df)
             ]
             rest = Pipeline(stages=stages[len(lead) :]).fit(hashed[0])
@@ -138,12 +139,16 @@ def train(
             test_on = rest.transform(hashed[1]).select("features", "label")
         fit_rows = stack.enter_context(cached(fit_on))
         test_rows = stack.enter_context(cached(test_on))
+        # Filled before the parallel fits ask for them; the hashed rows are then done with.
+        for rows in (fit_rows, test_rows):
+            rows.count()
+        held.close()
         for name in models:
             model = classifier(name)
             search = CrossValidator(
                 estimator=Pipeline(stages=[model] if shared else [*stages, model]),
                 estimatorParamMaps=param_grid(model, grids.get(name, {})),
-                evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC"),
+                evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0),
                 numFolds=folds,
                 foldCol="fold",
                 parallelism=parallelism,

@@ -6,7 +6,7 @@ import math
 
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from clickweir.ml import evaluate, features, train
@@ -125,12 +125,55 @@ def test_eval_table_equals_the_evaluators(spark):
 
 def test_threshold_curve_ends(spark):
     df = spark.range(100).select((F.col("id") / 100).alias("s"), (F.col("id") >= 50).cast("int").alias("label"))
-    curve = evaluate.threshold_curve(df, "s", bins=10).orderBy("threshold").collect()
+    curve = evaluate.threshold_curve(df, "s", bins=10, low=0.0, high=1.0)
+    curve = curve.orderBy("threshold").collect()
     assert (curve[0]["recall"], curve[0]["precision"]) == (1.0, 0.5)
     assert curve[-1]["precision"] == 1.0
     assert [r["predicted_positive"] for r in curve] == list(range(100, 0, -10))
 
 
+def test_threshold_curve_counts_no_null_or_low_score_as_positive(spark):
+    df = spark.createDataFrame(
+        [(None, 1), (None, 0), (-3.0, 1), (0.5, 1), (7.0, 0)], "s double, label int"
+    )
+    curve = evaluate.threshold_curve(df, "s", bins=10, low=0.0, high=1.0).orderBy("threshold")
+    got = [(r["threshold"], r["predicted_positive"], r["recall"]) for r in curve.collect()]
+    assert got == [(0.5, 2, pytest.approx(1 / 3)), (0.9, 1, 0.0)]
+    whole = evaluate.threshold_curve(df, "s", bins=10).orderBy("threshold").collect()
+    assert (whole[0]["threshold"], whole[0]["predicted_positive"]) == (-3.0, 3)
+
+
+def test_scaling_keeps_rows_with_a_null(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (3.0, None), (5.0, 4.0)], "a double, b double")
+    got = [r["scaled"] for r in features.scale(df, ["a", "b"]).orderBy("a").collect()]
+    assert len(got) == 3 and got[1][1] is None
+    assert got[0][0] == pytest.approx(0.5)
+
+
+def test_vector_information_of_sparse_and_dense_rows(spark):
+    rows = spark.range(60).select(
+        (F.col("id") % 2).cast("double").alias("label"),
+        F.array(
+            F.lit(0.0),
+            (F.col("id") % 2).cast("double"),
+            (F.col("id") % 3).cast("double"),
+            F.lit(4.0),
+        ).alias("x"),
+    )
+    vectors = rows.select("label", array_to_vector("x").alias("v"))
+    long = rows.select("label", F.posexplode("x").alias("feature", "value"))
+    want = {r[0]: r[1] for r in features.long_information(long, "label").collect()}
+    got = {r[0]: r[1] for r in features.vector_information(vectors, "v", "label").collect()}
+    assert got == pytest.approx(want, abs=1e-9)
+
+
+def test_texts_are_dealt_out_once(spark, plan):
+    df = spark.createDataFrame([(1, "a b a")], "id long, text string")
+    tree = plan(features.terms(df, "id", "text", 2)).split("\n\n")[0]
+    assert tree.count("Exchange") == 1
+    assert tree.rfind("Exchange") > tree.rfind("Generate")
+
+
 def test_train_save_load_score(spark, rows, tmp_path):
     path = str(tmp_path / "models")
     grids = {"logistic": {"regParam": [0.01]}, "random_forest": {"numTrees": [5]}}
