@@ -44,18 +44,31 @@ def large_merge(spark: SparkSession, d: str) -> DataFrame:
 
 
 def salted(spark: SparkSession, d: str) -> DataFrame:
+    """Every third line goes to one supplier: the only hot key."""
+    hot = (F.col("l_orderkey") + F.col("l_linenumber")) % 3 == 0
     lines = table(spark, d, "lineitem").select(
-        "l_suppkey", "l_orderkey", "l_linenumber", "l_quantity"
+        F.when(hot, F.lit(1)).otherwise(F.col("l_suppkey")).alias("l_suppkey"),
+        "l_orderkey",
+        "l_linenumber",
+        "l_quantity",
     )
     suppliers = table(spark, d, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"), "s_name", "s_nationkey"
     )
     joined = salted_join(
-        lines, suppliers, ["l_suppkey"], salts=8, spread_by=["l_orderkey", "l_linenumber"]
+        lines,
+        suppliers,
+        ["l_suppkey"],
+        salts=8,
+        share=0.25,
+        spread_by=["l_orderkey", "l_linenumber"],
     )
+    hot_count = hot_keys(lines, ["l_suppkey"], 0.25).agg(F.count("*")).scalar()
     return rounded(
         joined.groupBy("s_name", "s_nationkey").agg(
-            F.count("*").alias("lines"), F.sum("l_quantity").alias("quantity")
+            F.count("*").alias("lines"),
+            F.sum("l_quantity").alias("quantity"),
+            F.max(hot_count).alias("hot_keys"),
         ),
         2,
     )
@@ -87,8 +100,11 @@ CHECKS = {
     ),
     "salted_skew_join": (
         salted,
-        """select s_name, s_nationkey, count(*) as lines, round(sum(l_quantity), 2) as quantity
-           from lineitem join supplier on l_suppkey = s_suppkey group by all""",
+        """select s_name, s_nationkey, count(*) as lines, round(sum(l_quantity), 2) as quantity,
+             1 as hot_keys
+           from (select *, case when (l_orderkey + l_linenumber) % 3 = 0 then 1 else l_suppkey end
+                   as supplier from lineitem)
+           join supplier on supplier = s_suppkey group by all""",
     ),
     "hot_keys": (
         hot,

@@ -111,6 +111,22 @@ def schema_compliance(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def compliance(spark: SparkSession, d: str) -> DataFrame:
+    """One verdict for a table as expected, and one for a table that lacks a column."""
+    orders = table(spark, d, "orders")
+    found = None
+    for name, df in (("same", orders), ("cut", orders.drop("o_custkey"))):
+        verdict = quality.is_compliant(quality.schema_compliance(df, orders.schema))
+        row = verdict.select(
+            F.lit(name).alias("given"),
+            F.array_join("missing_columns", ",").alias("missing"),
+            F.array_join("extra_columns", ",").alias("extra"),
+            "is_compliant",
+        )
+        found = row if found is None else found.unionByName(row)
+    return found
+
+
 def stats_join(spark: SparkSession, d: str) -> DataFrame:
     rows = with_stats(events_shaped(spark, d).where("amount is not null"), ["amount"])
     return rounded(
@@ -268,7 +284,8 @@ CHECKS = {
                from scored
              union all select 'duplicate_share', duplicate_share, 0.05 from scored)
              select check_name, round(value, 6) as value, threshold, value <= threshold as passed
-             from checks""",
+             from checks
+             union all select 'min_rows', total_records, 1.0, total_records >= 1 from scored""",
     ),
     "row_split": (
         row_split,
@@ -311,6 +328,11 @@ CHECKS = {
            union all select 'o_orderpriority', 'extra', count(*) - count(o_orderpriority)
              from orders""",
     ),
+    "is_compliant": (
+        compliance,
+        """select 'same' as given, '' as missing, '' as extra, true as is_compliant
+           union all select 'cut', 'o_custkey', '', false""",
+    ),
     "scalar_stats_join": (
         stats_join,
         SHAPED

@@ -40,7 +40,7 @@ def user_windows(spark: SparkSession, d: str) -> DataFrame:
 def cooccurrence(spark: SparkSession, d: str) -> DataFrame:
     rows = windows.user_windows(events_tidy(spark, d), **DAYS)
     matched = windows.match_all(rows, PATTERN).withColumn(
-        "sequence_length", F.size(windows.event_sequence(F.col("type_counts"))).cast("long")
+        "sequence_length", windows.event_count(F.col("type_counts"))
     )
     return rounded(plain_times(flat_counts(matched)))
 
@@ -69,13 +69,13 @@ ROUND_SLIDING = """select * replace (round(total_amount, 4) as total_amount,
   round(avg_amount, 4) as avg_amount, round(max_amount, 4) as max_amount) from sliding"""
 
 
-def user_windows_sql(step: str, count: int, width: str) -> str:
+def user_windows_sql(step: str, count: int, width: str, where: str = "true") -> str:
     """User windows in SQL: ``count`` windows of ``width``, ``step`` apart, per event."""
     return TIDY + f""",
 spread as (
   select *, time_bucket(interval {step}, "timestamp", timestamp '1970-01-01')
             - k * interval {step} as window_start
-  from tidy, (select unnest(generate_series(0, {count - 1})) as k)),
+  from tidy, (select unnest(generate_series(0, {count - 1})) as k) where {where}),
 per_type as (
   select user_id, window_start, event_type, count(*) as n, sum(amount) as v,
     max("timestamp") as t from spread group by all),

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def label_range(
@@ -81,8 +82,22 @@ def hash_bucket(columns: Sequence[Column], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int")
 
 
+def holds_map(kind: T.DataType) -> bool:
+    """Whether values of a type are or contain maps, which Spark neither hashes nor sorts."""
+    if isinstance(kind, T.MapType):
+        return True
+    if isinstance(kind, T.ArrayType):
+        return holds_map(kind.elementType)
+    return isinstance(kind, T.StructType) and any(holds_map(f.dataType) for f in kind.fields)
+
+
+def hashable(df_field: T.StructField, column: Column) -> Column:
+    """``column`` in a form Spark can hash: what contains maps becomes text."""
+    return F.to_json(F.struct(column)) if holds_map(df_field.dataType) else column
+
+
 def orderable(df_field, column: Column) -> Column:
     """``column`` in a form Spark can sort by: maps become sorted entry lists."""
-    if df_field.dataType.typeName() == "map":
+    if isinstance(df_field.dataType, T.MapType) and not holds_map(df_field.dataType.valueType):
         return F.sort_array(F.map_entries(column))
-    return column
+    return hashable(df_field, column)

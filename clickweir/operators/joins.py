@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickweir.functions.columns import hash_bucket
+from clickweir.functions.columns import hash_bucket, hashable
 
 # What a side may have to be broadcast. Rows are checked first, since a count
 # is nearly free; then bytes, since rows may be wide.
@@ -31,16 +31,10 @@ def _width(name: str, kind: T.DataType) -> Column:
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """Whether ``df`` is within both bounds.
-
-    The row count of a Parquet table comes from its footers; the columns are
-    only read, to measure them, once the rows are known to be few.
-    """
-    if df.count() > max_rows:
-        return False
+    """Whether ``df`` is within both bounds: rows and bytes from one aggregate."""
     widths = [_width(f.name, f.dataType) for f in df.schema.fields]
-    measured = df.agg(F.sum(sum(widths, F.lit(0).cast("long")))).first()[0]
-    return (measured or 0) <= max_bytes
+    rows, size = df.agg(F.count("*"), F.sum(sum(widths, F.lit(0).cast("long")))).first()
+    return rows <= max_rows and (size or 0) <= max_bytes
 
 
 def lookup_join(
@@ -114,14 +108,19 @@ def salted_join(
     """
     keys = list(on)
     others = list(spread_by or [c for c in left.columns if c not in keys])
-    if hot is None:
-        hot = hot_keys(left, keys, share)
-    hot = F.broadcast(hot.select(*keys, F.lit(True).alias("_hot")))
+    spread = [hashable(left.schema[c], F.col(c)) for c in others]
+    if hot is None:  # at most 1 / share keys
+        hot = F.broadcast(hot_keys(left, keys, share).select(*keys, F.lit(True).alias("_hot")))
+    else:
+        hot = hot.select(*keys, F.lit(True).alias("_hot"))
+        if not fits_broadcast(hot, max_rows=round(1 / share)):
+            raise ValueError("more keys are given as hot than a share of the rows allows")
+        hot = F.broadcast(hot)
     salted_left = (
         left.join(hot, keys, "left")
         .withColumn(
             "_salt",
-            F.when(F.col("_hot"), hash_bucket([F.col(c) for c in others], salts)).otherwise(0),
+            F.when(F.col("_hot"), hash_bucket(spread, salts)).otherwise(0),
         )
         .drop("_hot")
     )

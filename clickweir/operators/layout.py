@@ -6,7 +6,7 @@ import math
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -50,14 +50,16 @@ def write_partitioned(
     fmt: str = "parquet",
     replace: str = "dynamic",
 ) -> int:
-    """Write partitioned by ``by``; returns the rows the table then holds.
+    """Write partitioned by ``by``; returns the rows written.
 
     ``replace="dynamic"`` replaces only the partitions that occur in ``df``,
-    ``"static"`` everything below ``path``. The rows are counted from the
-    written files, so nothing is computed a second time.
+    ``"static"`` everything below ``path``. The rows are counted while they are
+    written. An empty frame writes no files.
     """
+    written = Observation()
     (
         rebalance_by(df, by)
+        .observe(written, F.count("*").alias("rows"))
         .write.mode("overwrite")
         .format(fmt)
         .option("partitionOverwriteMode", replace)
@@ -66,7 +68,7 @@ def write_partitioned(
         .partitionBy(*by)
         .save(path)
     )
-    return stored_rows(df.sparkSession, path, fmt)
+    return written.get["rows"]
 
 
 def write_small(df: DataFrame, path: str, sort: Sequence[str] = (), fmt: str = "parquet") -> int:
@@ -78,8 +80,23 @@ def write_small(df: DataFrame, path: str, sort: Sequence[str] = (), fmt: str = "
     single = df.repartition(1)
     if sort:
         single = single.sortWithinPartitions(*sort)
-    single.write.mode("overwrite").format(fmt).save(path)
-    return stored_rows(df.sparkSession, path, fmt)
+    written = Observation()
+    single.observe(written, F.count("*").alias("rows")).write.mode("overwrite").format(fmt).save(
+        path
+    )
+    return written.get["rows"]
+
+
+@contextmanager
+def advisory_size(spark: SparkSession, size: str) -> Iterator[None]:
+    """The size adaptive execution aims at for a partition, inside the block."""
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def table_bytes(spark: SparkSession, path: str, pattern: str = "*.parquet") -> int:
@@ -106,14 +123,17 @@ def compact(
     Goes to a new path, so readers of the old one are not disturbed, and
     returns one row with the row counts and bytes of both. An unpartitioned
     table is only coalesced, which moves no rows between executors; a
-    partitioned one is rebalanced so that each directory gets few files.
+    partitioned one is rebalanced, with the advisory partition size at
+    ``target_mb`` for the length of this write, so that each directory gets
+    few files.
     """
     df = spark.read.parquet(source)
     before = table_bytes(spark, source)
     files = max(1, math.ceil(before / (target_mb * 1024 * 1024)))
     shaped = rebalance_by(df, by) if by else df.coalesce(files)
     writer = shaped.write.mode("overwrite")
-    (writer.partitionBy(*by) if by else writer).parquet(target)
+    with advisory_size(spark, f"{target_mb}m"):
+        (writer.partitionBy(*by) if by else writer).parquet(target)
     rows = spark.read.parquet(source).agg(F.count("*").alias("rows_before"))
     kept = spark.read.parquet(target).agg(F.count("*").alias("rows_after"))
     return rows.select(

@@ -36,11 +36,17 @@ def outside(value: Column, mean: Column, std: Column, sigmas: float = 3.0) -> Co
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``(column_name, null_count, null_share)`` per column, from one pass."""
     names = list(columns or df.columns)
-    wide = df.agg(
-        F.count("*").alias("rows"),
-        *[F.count_if(F.col(c).isNull()).alias(c) for c in names],
+    entries = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("column_name"), F.count_if(F.col(c).isNull()).alias("null_count")
+            )
+            for c in names
+        ]
+    )
+    long = df.agg(F.count("*").alias("rows"), entries.alias("entries")).select(
+        "rows", F.inline("entries")
     )
-    long = wide.unpivot(["rows"], names, "column_name", "null_count")
     return long.select(
         "column_name",
         "null_count",
@@ -184,10 +190,12 @@ def quality_gate(
     critical: Sequence[str] = schema.CRITICAL_COLUMNS,
     null_threshold: float = 0.1,
     duplicate_threshold: float = 0.05,
+    min_rows: int = 1,
 ) -> DataFrame:
     """``(check_name, value, threshold, passed)`` for a quality report.
 
-    One null check per critical column and one duplicate check.
+    One null check per critical column, one duplicate check, and one that there
+    are ``min_rows`` rows at all (an empty table has no nulls to find).
     """
     total = F.col("total_records")
     checks = [
@@ -195,6 +203,12 @@ def quality_gate(
         for c in critical
     ]
     checks.append(("duplicate_share", F.col("duplicate_share"), duplicate_threshold))
+    enough = F.struct(
+        F.lit("min_rows").alias("check_name"),
+        total.cast("double").alias("value"),
+        F.lit(float(min_rows)).alias("threshold"),
+        (total >= min_rows).alias("passed"),
+    )
     rows = F.array(
         *[
             F.struct(
@@ -204,7 +218,8 @@ def quality_gate(
                 (value <= limit).alias("passed"),
             )
             for name, value, limit in checks
-        ]
+        ],
+        enough,
     )
     return report.select(F.inline(rows))
 

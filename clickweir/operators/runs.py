@@ -80,8 +80,10 @@ def bucket_counts(
 def bucket_quantile(hist: DataFrame, q: float, by: Sequence[str] = ()) -> DataFrame:
     """Quantile ``q`` by linear interpolation inside the bucket it falls in.
 
-    Beyond the highest finite bound that bound is returned; the first bucket
-    starts at 0. The window runs over the buckets of one histogram.
+    That is the first bucket with as many values up to its bound as the rank
+    asks for. Beyond the highest finite bound that bound is returned; the first
+    bucket starts at 0, or at its bound if that is lower. An empty histogram
+    has no quantile. The window runs over the buckets of one histogram.
     """
     span = Window.partitionBy(*by).orderBy("le")
     whole = Window.partitionBy(*by)
@@ -89,21 +91,17 @@ def bucket_quantile(hist: DataFrame, q: float, by: Sequence[str] = ()) -> DataFr
         *by,
         "le",
         "bucket_count",
-        F.lag("le", 1, 0.0).over(span).alias("_from"),
+        F.lag("le", 1).over(span).alias("_from"),
         F.lag("bucket_count", 1, 0).over(span).alias("_before"),
         (F.lit(q) * F.max("bucket_count").over(whole)).alias("_rank"),
     )
-    holds = (F.col("bucket_count") >= F.col("_rank")) & (
-        (F.col("_before") < F.col("_rank")) | (F.col("_from") == 0.0)
-    )
+    reached = (F.col("bucket_count") > 0) & (F.col("bucket_count") >= F.col("_rank"))
+    first = ranked.where(reached).withColumn("_place", F.row_number().over(span))
+    low = F.coalesce("_from", F.least(F.lit(0.0), F.col("le")))
     share = (F.col("_rank") - F.col("_before")) / (F.col("bucket_count") - F.col("_before"))
-    inside = F.col("_from") + (F.col("le") - F.col("_from")) * share
-    return (
-        ranked.where(holds & (F.col("bucket_count") > F.col("_before")))
-        .select(
-            *by,
-            F.when(F.col("le") == float("inf"), F.col("_from")).otherwise(inside).alias("quantile"),
-        )
+    inside = low + (F.col("le") - low) * F.greatest(share, F.lit(0.0))
+    return first.where("_place = 1").select(
+        *by, F.when(F.col("le") == float("inf"), low).otherwise(inside).alias("quantile")
     )
 
 

@@ -7,11 +7,13 @@ watermark and run in append mode: a group comes out once its window closed.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import gcd
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickweir import schema
+from clickweir.operators.runs import seconds_in
 
 
 def _watermarked(df: DataFrame, ts: str, delay: str | None) -> DataFrame:
@@ -25,6 +27,11 @@ def _flat(df: DataFrame) -> DataFrame:
     ).drop("window")
 
 
+def _pane(duration: str, slide: str) -> str:
+    """The widest span of time that all windows contain wholly or not at all."""
+    return f"{gcd(seconds_in(duration), seconds_in(slide))} seconds"
+
+
 def window_agg(
     df: DataFrame,
     *,
@@ -47,6 +54,23 @@ def window_agg(
     marked = _watermarked(df, ts, delay)
     span = F.window(ts, duration, slide) if slide else F.window(ts, duration)
     total = F.sum(amount).alias("total_amount")
+    if not exact_users and slide and not df.isStreaming:
+        panes = df.groupBy(F.window(ts, _pane(duration, slide))["start"].alias("pane"), *keys).agg(
+            F.count("*").alias("events"),
+            F.sum(amount).alias("amount_sum"),
+            F.count(amount).alias("amount_n"),
+            F.max(amount).alias("amount_max"),
+            F.hll_sketch_agg(user).alias("users"),
+        )
+        return _flat(
+            panes.groupBy(F.window("pane", duration, slide).alias("window"), *keys).agg(
+                F.sum("events").alias("event_count"),
+                F.sum("amount_sum").alias("total_amount"),
+                F.try_divide(F.sum("amount_sum"), F.sum("amount_n")).alias("avg_amount"),
+                F.max("amount_max").alias("max_amount"),
+                F.hll_sketch_estimate(F.hll_union_agg("users")).alias("unique_users"),
+            )
+        )
     if not exact_users:
         return _flat(
             marked.groupBy(span.alias("window"), *keys).agg(
@@ -93,7 +117,12 @@ def user_windows(
 
     Given ``types``, only those are counted, with one counter each in a single
     aggregate: one shuffle less, and on a stream update mode is possible.
+
+    A batch table is first folded to one row per (pane, user) or (pane, user,
+    type); only those rows are copied into the windows they belong to.
     """
+    if not df.isStreaming:
+        return _user_windows_by_pane(df, duration, slide, ts, user, amount, types)
     marked = _watermarked(df, ts, delay)
     span = F.window(ts, duration, slide).alias("window")
     if types is not None:
@@ -136,8 +165,67 @@ def user_windows(
     )
 
 
+def _user_windows_by_pane(df, duration, slide, ts, user, amount, types) -> DataFrame:
+    pane = F.window(ts, _pane(duration, slide))["start"].alias("pane")
+    span = F.window("pane", duration, slide).alias("window")
+    folded = [F.sum(amount).alias("amount_sum"), F.max(ts).alias("last_ts")]
+    totals = [
+        F.sum("amount_sum").alias("session_value"),
+        F.max("last_ts").alias("last_activity"),
+    ]
+    if types is not None:
+        counts = [
+            F.count_if(F.col("event_type") == t).alias(f"_n{i}") for i, t in enumerate(types)
+        ]
+        panes = df.groupBy(pane, user).agg(F.count("*").alias("events"), *counts, *folded)
+        pairs = F.array(
+            *[
+                F.struct(F.lit(t).alias("event_type"), F.sum(f"_n{i}").alias("n"))
+                for i, t in sorted(enumerate(types), key=lambda pair: pair[1])
+            ]
+        )
+        counted = panes.groupBy(span, user).agg(
+            F.sum("events").alias("events_in_session"),
+            F.filter(pairs, lambda pair: pair["n"] > 0).alias("type_counts"),
+            *totals,
+        )
+        return _flat(counted)
+    panes = df.groupBy(pane, user, "event_type").agg(F.count("*").alias("n"), *folded)
+    listed = panes.groupBy(span, user).agg(
+        F.sum("n").alias("events_in_session"),
+        F.collect_list(F.struct("event_type", "n")).alias("pairs"),
+        *totals,
+    )
+
+    def of_type(kind: Column) -> Column:
+        same = F.filter("pairs", lambda pair: pair["event_type"].eqNullSafe(kind))
+        n = F.aggregate(same, F.lit(0).cast("long"), lambda total, pair: total + pair["n"])
+        return F.struct(kind.alias("event_type"), n.alias("n"))
+
+    kinds = F.array_distinct(F.transform("pairs", lambda pair: pair["event_type"]))
+    return _flat(
+        listed.select(
+            "window",
+            user,
+            "events_in_session",
+            F.sort_array(F.transform(kinds, of_type)).alias("type_counts"),
+            "session_value",
+            "last_activity",
+        )
+    )
+
+
+def event_count(type_counts: Column) -> Column:
+    """Events in ``type_counts`` that have a type: the length of the written-out sequence."""
+    known = F.filter(type_counts, lambda pair: pair["event_type"].isNotNull())
+    return F.aggregate(known, F.lit(0).cast("long"), lambda total, pair: total + pair["n"])
+
+
 def event_sequence(type_counts: Column) -> Column:
-    """``type_counts`` written out as a list of types, null types left out."""
+    """``type_counts`` written out as a list of types, null types left out.
+
+    One entry per event, so for small windows; ``event_count`` has its length.
+    """
     return F.flatten(
         F.transform(
             F.filter(type_counts, lambda pair: pair["event_type"].isNotNull()),
@@ -165,26 +253,15 @@ def match_all(
     return flagged.where("has_purchase_pattern")
 
 
-def _advance(events: Column, start: int, pattern: Sequence[str]) -> Column:
-    """Steps of ``pattern`` done after ``events`` (sorted by time) when ``start`` were done.
+def _composed(moves: Column, size: int) -> Column:
+    """One table of moves for several in order: steps done after, by steps done before."""
 
-    Each step must come strictly later than the one before it.
-    """
-    steps = F.array(*[F.lit(step) for step in pattern], F.lit(None).cast("string"))
-
-    def step(state: Column, event: Column) -> Column:
-        wanted = F.get(steps, state["done"])
-        later = state["at"].isNull() | (event["ts"] > state["at"])
-        hit = F.coalesce((event["event_type"] == wanted) & later, F.lit(False))
-        return F.struct(
-            F.when(hit, state["done"] + 1).otherwise(state["done"]).alias("done"),
-            F.when(hit, event["ts"]).otherwise(state["at"]).alias("at"),
+    def from_state(start: int) -> Column:
+        return F.aggregate(
+            moves, F.lit(start), lambda state, part: F.get(part["move"], state)
         )
 
-    begin = F.struct(
-        F.lit(start).alias("done"), F.lit(None).cast("timestamp").alias("at")
-    )
-    return F.aggregate(events, begin, step, lambda state: state["done"])
+    return F.array(*[from_state(start) for start in range(size)], F.lit(size))
 
 
 def match_ordered(
@@ -194,48 +271,67 @@ def match_ordered(
     duration: str = "20 minutes",
     slide: str = "5 minutes",
     chunk: str = "1 minute",
+    instant: str = "10 milliseconds",
     ts: str = "timestamp",
     user: str = "user_id",
     delay: str | None = "30 minutes",
 ) -> DataFrame:
     """User windows in which the types of ``pattern`` follow one another in time.
 
-    Two levels, so that no task gathers a user's whole history. Per (user,
-    chunk) the distinct (time, type) pairs of the pattern's types become a
-    small table: steps done at the end of the chunk for each number of steps
-    done at its start. A window then folds the tables of its chunks, of which
-    there are at most duration / chunk. ``slide`` and ``duration`` must be
-    multiples of ``chunk``.
+    Each step must come strictly later than the one before it, so the events of
+    one user at one exact time make at most one step: they are one row with the
+    steps seen there as bits. Tables of moves (steps done at the end, by steps
+    done at the start) can be put one after the other, so they are composed in
+    levels: the times of an ``instant`` (at most its microseconds), the instants
+    of a ``chunk``, the chunks of a window. No row gathers more than the level
+    above holds of the level below, however many events a user has.
+    ``slide`` and ``duration`` must be multiples of ``chunk``.
     """
     size = len(pattern)
+    if any(seconds_in(span) % seconds_in(chunk) for span in (duration, slide)):
+        raise ValueError(f"{duration} and {slide} must be multiples of {chunk}")
+    steps = F.lit(0)
+    for kind in dict.fromkeys(pattern):
+        bits = sum(1 << i for i, step in enumerate(pattern) if step == kind)
+        steps = F.when(F.col("event_type") == kind, bits).otherwise(steps)
     marked = _watermarked(
         df.select(user, ts, "event_type").where(F.col("event_type").isin(*pattern)),
         ts,
         delay,
     )
-    chunks = marked.groupBy(F.window(ts, chunk).alias("chunk"), user).agg(
-        F.sort_array(F.collect_set(F.struct(F.col(ts).alias("ts"), "event_type"))).alias("events")
+    # As a number: a stream may have only one event time column.
+    at = F.unix_micros(F.col(ts).cast("timestamp")).alias("at")
+    times = marked.groupBy(F.window(ts, instant).alias("part"), user, at).agg(
+        F.bit_or(steps).alias("steps")
+    )
+
+    def after(state: Column, time: Column) -> Column:
+        return state + F.getbit(time["steps"].cast("long"), state).cast("int")
+
+    def level(rows: DataFrame, span: Column) -> DataFrame:
+        listed = rows.groupBy(span.alias("next"), user).agg(
+            F.sort_array(
+                F.collect_list(F.struct(F.col("part.start").alias("at"), "move"))
+            ).alias("moves")
+        )
+        return listed.select(
+            F.col("next").alias("part"), user, _composed(F.col("moves"), size).alias("move")
+        )
+
+    instants = times.groupBy("part", user).agg(
+        F.sort_array(F.collect_list(F.struct("at", "steps"))).alias("times")
     )
-    moves = chunks.select(
-        "chunk",
+    moves = instants.select(
+        "part",
         user,
         F.array(
-            *[_advance(F.col("events"), done, pattern) for done in range(size)],
-            F.lit(size),
+            *[F.aggregate("times", F.lit(start), after) for start in range(size)], F.lit(size)
         ).alias("move"),
     )
-    spans = moves.groupBy(
-        F.window(F.window_time("chunk"), duration, slide).alias("window"), user
-    ).agg(
-        F.sort_array(
-            F.collect_list(F.struct(F.col("chunk.start").alias("at"), "move"))
-        ).alias("moves")
-    )
-    done = F.aggregate(
-        "moves", F.lit(0), lambda state, part: F.get(part["move"], state)
-    )
-    matched = spans.where(done == size).select("window", user)
-    return _flat(matched)
+    chunks = level(moves, F.window(F.window_time("part"), chunk))
+    spans = level(chunks, F.window(F.window_time("part"), duration, slide))
+    matched = spans.where(F.get("move", F.lit(0)) == size)
+    return _flat(matched.select(F.col("part").alias("window"), user))
 
 
 def user_sessions(
@@ -295,6 +391,16 @@ def user_sessions(
     )
 
 
+def open_only(windows: DataFrame, events: DataFrame, ts: str, delay: str) -> DataFrame:
+    """The batch windows that ``closed_only`` leaves out.
+
+    A drained append-mode stream still holds them: computed from the stored
+    events they complete what it has written.
+    """
+    latest = F.date_trunc("millisecond", events.agg(F.max(ts)).scalar())
+    return windows.where(F.col("window_end") > latest - F.expr(f"interval '{delay}'"))
+
+
 def closed_only(windows: DataFrame, events: DataFrame, ts: str, delay: str) -> DataFrame:
     """Batch windows that an append-mode stream over the same events would have emitted."""
     latest = events.agg(F.max(ts)).scalar()

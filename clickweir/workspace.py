@@ -4,22 +4,58 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Folders of the enclosing ``scratch`` blocks, innermost last.
+_SCRATCH: list[str] = []
+
+
+@cache
+def _local_folder(application: str) -> str:
+    """One folder per local session that has no setting; local tasks share the machine."""
+    return tempfile.mkdtemp(prefix=f"{application}-")
+
+
+def shared_base(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``; only a local session may go without it."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return _local_folder(spark.sparkContext.applicationId)
+
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh path for ``purpose`` below the folder in ``spark.checkpoint.dir``.
+    """A fresh path for ``purpose`` in the shared folder, or in the scratch folder around it."""
+    base = _SCRATCH[-1] if _SCRATCH else shared_base(spark)
+    return f"{base}/{purpose}-{uuid.uuid4().hex}"
 
-    Only a local session may go without the setting: it then gets a temporary
-    folder, which on a cluster the executors could not see.
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system its path names."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Own the intermediates written inside the block: they are gone after it.
+
+    For jobs that finish their work inside. A frame that is handed out lazily
+    still reads its intermediates, so its caller opens the block.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="clickweir-")
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    folder = shared_dir(spark, "scratch")
+    _SCRATCH.append(folder)
+    try:
+        yield folder
+    finally:
+        _SCRATCH.pop()
+        remove(spark, folder)
 
 
 def materialise(df: DataFrame) -> DataFrame:

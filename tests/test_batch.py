@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -132,7 +133,8 @@ def test_empty_table_scores_zero(frame):
     assert got["total_records"] == 0
     assert got["duplicate_records"] == 0
     assert got["latest_timestamp"] is None
-    assert quality.quality_gate(quality.quality_report(frame([]))).count() == 5
+    gate = quality.quality_gate(quality.quality_report(frame([]))).collect()
+    assert {r["check_name"] for r in gate if not r["passed"]} == {"min_rows"}
 
 
 def test_one_row_and_all_null_amounts(frame):
@@ -405,8 +407,9 @@ def test_schema_stays_as_given(spark, days):
 def test_rewriting_a_day_leaves_the_others(spark, days):
     day = batch.read_events(spark, days, dates=["2024-01-02"]).where("amount < 20").collect()
     df = spark.createDataFrame(day, T.StructType([*NULLABLE.fields, T.StructField("date", T.DateType())]))
-    before = batch.read_events(spark, days).where("date <> '2024-01-02'").count()
-    assert layout.write_partitioned(df, days, ["date"]) == before + len(day)
+    others = batch.read_events(spark, days).where("date <> '2024-01-02'").count()
+    assert layout.write_partitioned(df, days, ["date"]) == len(day)
+    assert batch.read_events(spark, days).count() == others + len(day)
 
 
 def test_run_day(spark, days, tmp_path, frame):
@@ -418,6 +421,27 @@ def test_run_day(spark, days, tmp_path, frame):
     assert spark.read.parquet(f"{target}/summary").agg(F.sum("event_count")).first()[0] == got["detail_rows"]
     assert got["rollup_rows"] == spark.read.parquet(f"{target}/daily_rollup").count()
     assert spark.read.parquet(f"{target}/quality").count() == 1
+    assert spark.read.parquet(f"{target}/runs").first()["records_processed"] == got["detail_rows"]
+
+
+def test_run_day_without_events(spark, days, tmp_path):
+    for date, types in (("2031-01-01", ["VIEW"]), ("2024-01-02", ["NO SUCH TYPE"])):
+        target = str(tmp_path / date)
+        got = run_day(spark, days, target, date, types=types, as_of=T0).first()
+        assert tuple(got)[1:] == (0, 0, 0)
+        report = spark.read.parquet(f"{target}/quality")
+        empty = {r["check_name"]: r["passed"] for r in quality.quality_gate(report).collect()}
+        assert empty["min_rows"] is (date == "2024-01-02")
+
+
+def test_run_day_wants_the_zone_of_the_dates(spark, days, tmp_path):
+    with pytest.raises(ValueError, match="time zone"):
+        run_day(spark, days, str(tmp_path / "o"), "2024-01-02", zone="Asia/Tokyo")
+
+
+def test_empty_frames_are_written(spark, tmp_path):
+    path = str(tmp_path / "none")
+    assert layout.write_partitioned(spark.range(0).withColumn("p", F.lit(1)), path, ["p"]) == 0
 
 
 def test_compaction_keeps_rows_and_cuts_files(spark, tmp_path):
@@ -467,3 +491,103 @@ def test_merged_permissive_and_probe(spark, tmp_path):
 def test_count_by(spark, frame):
     got = batch.count_by(spark, frame([event("a"), event("b")]), "event_type")
     assert [tuple(r) for r in got.collect()] == [("VIEW", 2)]
+
+
+def test_quantile_with_a_bound_of_zero(spark):
+    values = spark.createDataFrame([(0.0,), (0.0,), (0.0,), (5.0,)], "v double")
+    hist = runs.bucket_counts(values, "v", schema.SCORE_BOUNDS)
+    assert [r["quantile"] for r in runs.bucket_quantile(hist, 0.5).collect()] == [0.0]
+    assert [r["quantile"] for r in runs.bucket_quantile(hist, 1.0).collect()] == [10.0]
+    low = runs.bucket_counts(values.withColumn("v", F.col("v") - 20), "v", (-20, -10, 0))
+    assert [r["quantile"] for r in runs.bucket_quantile(low, 0.5).collect()] == [-20.0]
+    assert runs.bucket_quantile(runs.bucket_counts(values.limit(0), "v"), 0.5).count() == 0
+
+
+def test_salted_join_with_maps(spark):
+    left = spark.range(100).select(
+        (F.col("id") % 3).alias("k"), F.create_map(F.lit("a"), F.col("id")).alias("m"),
+        F.array(F.create_map(F.lit("a"), F.col("id"))).alias("nested"),
+    )
+    right = spark.createDataFrame([(0, "x"), (1, "y")], "k long, name string")
+    assert joins.salted_join(left, right, ["k"], salts=4, share=0.2).count() == 67
+    with pytest.raises(ValueError, match="hot"):
+        joins.salted_join(left, right, ["k"], share=0.5, hot=left.select("k").distinct()).count()
+
+
+def test_null_counts_of_a_column_named_rows(spark):
+    df = spark.createDataFrame([(1, None), (None, None)], "rows long, entries string")
+    got = {r["column_name"]: r["null_count"] for r in quality.null_counts(df).collect()}
+    assert got == {"rows": 1, "entries": 2}
+
+
+def test_ordered_pattern_spans_must_be_multiples(frame):
+    with pytest.raises(ValueError, match="multiples"):
+        windows.match_ordered(frame([]), slide="90 seconds", chunk="1 minute")
+
+
+def test_ordered_pattern_of_one_busy_minute(spark):
+    """200,000 events of one user in a minute: lists stay as short as their level."""
+    kinds = F.array(*[F.lit(k) for k in ("PURCHASE", "ADD_TO_CART", "VIEW")])
+    start = F.lit(1_704_067_200_000_000)
+    busy = spark.range(200_000).select(
+        F.lit(1).cast("long").alias("user_id"),
+        F.timestamp_micros(start + F.col("id") * 290).alias("timestamp"),
+        F.get(kinds, F.pmod("id", F.lit(3)).cast("int")).alias("event_type"),
+    )
+    assert windows.match_ordered(busy).count() == 4
+    backwards = busy.withColumn(
+        "timestamp",
+        F.timestamp_micros(
+            start + F.when(F.col("event_type") == "VIEW", 50_000_000)
+            .when(F.col("event_type") == "ADD_TO_CART", 40_000_000)
+            .otherwise(30_000_000)
+        ),
+    )
+    assert windows.match_ordered(backwards).count() == 0
+
+
+def test_user_windows_fold_before_they_copy(frame, plan):
+    rows = frame([])
+    for counted in (
+        windows.user_windows(rows),
+        windows.user_windows(rows, types=["VIEW"]),
+        windows.window_agg(rows, exact_users=False),
+    ):
+        tree = plan(counted).split("\n\n")[0]
+        first = max(tree.rfind("HashAggregate"), tree.rfind("SortAggregate"))
+        assert tree.rfind("Expand") < first
+
+
+def test_estimated_users_of_sliding_windows(spark):
+    rows = spark.range(3000).select(
+        (F.col("id") % 50).alias("user_id"),
+        F.timestamp_seconds(1_704_067_200 + F.col("id")).alias("timestamp"),
+        F.lit("VIEW").alias("event_type"),
+        F.lit("c").alias("category"),
+        F.lit(1.0).alias("amount"),
+    )
+    exact, near = (
+        {r["window_start"]: r for r in windows.window_agg(rows, exact_users=e).collect()}
+        for e in (True, False)
+    )
+    assert exact.keys() == near.keys()
+    for start, r in exact.items():
+        assert near[start]["event_count"] == r["event_count"]
+        assert abs(near[start]["unique_users"] - r["unique_users"]) <= 2
+
+
+def test_skipped_files_are_named(spark, tmp_path):
+    spark.range(5).coalesce(1).write.parquet(str(tmp_path / "t"))
+    (tmp_path / "t" / "broken.parquet").write_bytes(b"no table")
+    assert batch.read_permissive(spark, str(tmp_path / "t")).count() == 5
+    [gone] = batch.skipped_files(spark, str(tmp_path / "t")).collect()
+    assert gone["file"].endswith("broken.parquet") and gone["bytes"] == 8
+
+
+def test_scratch_is_removed(spark, tmp_path):
+    from clickweir.workspace import materialise, scratch
+
+    with scratch(spark) as folder:
+        assert materialise(spark.range(3)).count() == 3
+        assert Path(folder).exists()
+    assert not Path(folder).exists()
