@@ -80,6 +80,27 @@ def file_ranges(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def interleaved_ranges(spark: SparkSession, d: str) -> DataFrame:
+    """Interleaved by two columns, files are narrow in both: a mean share of each range."""
+    path = shared_dir(spark, "interleaved")
+    source = shared_dir(spark, "lines")
+    columns = ["l_orderkey", "l_partkey"]
+    table(spark, d, "lineitem").select(*columns, "l_linenumber").write.parquet(source)
+    one = layout.table_bytes(spark, source)
+    # Sixteen files, whatever the size of the table.
+    layout.cluster_table(
+        spark, source, path, columns, target_mb=one / 16 / 1024 / 1024, interleave=True
+    )
+    narrow = None
+    for column in columns:
+        ends = table(spark, d, "lineitem").agg((F.max(column) - F.min(column)).alias("w")).scalar()
+        found = _files(spark, path, column).agg(
+            F.sum("n").alias("n"), (F.avg(F.col("most") - F.col("least")) < 0.5 * ends).alias("narrow")
+        )
+        narrow = found if narrow is None else narrow.unionByName(found)
+    return narrow.agg(F.max("n").alias("n"), F.every("narrow").alias("narrow"))
+
+
 def file_sizes(spark: SparkSession, d: str) -> DataFrame:
     """Compacted by a column to a target of 1 MB: no file is far above it."""
     source, target = shared_dir(spark, "small-files"), shared_dir(spark, "compacted")
@@ -139,6 +160,10 @@ CHECKS = {
              where rn = 1 and event_type in ('VIEW', 'CLICK', 'SIGNUP', 'PURCHASE')""",
     ),
     "file_ranges": (file_ranges, "select count(*) as n, 0 as overlapping from orders"),
+    "interleaved_ranges": (
+        interleaved_ranges,
+        "select count(*) as n, true as narrow from lineitem",
+    ),
     "file_sizes": (file_sizes, "select count(*) as n, true as within from lineitem"),
     "skipped_files": (
         skipped,

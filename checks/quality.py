@@ -87,7 +87,7 @@ def table_profile(spark: SparkSession, d: str) -> DataFrame:
 
 
 def column_profile(spark: SparkSession, d: str) -> DataFrame:
-    return quality.column_profile(table(spark, d, "orders")).select(
+    return quality.column_profile(table(spark, d, "orders"), exact=True).select(
         "column_name", "null_count", "distinct_count"
     )
 

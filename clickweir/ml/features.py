@@ -50,11 +50,11 @@ def column_roles(
     if strings:
         estimate = {
             r["column_name"]: r["distinct_count"]
-            for r in column_profile(df, strings, exact=False).collect()
+            for r in column_profile(df, strings).collect()
         }
         near = [c for c in strings if estimate[c] < 2 * max_categories]
         exact = (
-            {r["column_name"]: r["distinct_count"] for r in column_profile(df, near).collect()}
+            {r["column_name"]: r["distinct_count"] for r in column_profile(df, near, exact=True).collect()}
             if near
             else {}
         )

@@ -6,8 +6,9 @@ import math
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def rebalance_by(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -144,27 +145,73 @@ def compact(
     )
 
 
+def interleaved(df: DataFrame, columns: Sequence[str], bits: int = 8) -> Column:
+    """One number per row that orders all of ``columns`` about equally well.
+
+    Each column's values are cut into ``2 ** bits`` ranges of about as many rows
+    (one approximate pass over all of them); the bits of the range numbers are
+    then taken in turn. Nulls are in the first range.
+    """
+    shares = [i / 2**bits for i in range(1, 2**bits)]
+    # A fixed number of bounds per column comes to the driver program.
+    cuts = df.agg(*[F.percentile_approx(_as_number(df, c), shares, 10_000) for c in columns]).first()
+    total = F.lit(0).cast("long")
+    for i, c in enumerate(columns):
+        value = _as_number(df, c)
+        place = _bounds_up_to(value, cuts[i] or ())
+        for b in range(bits):
+            bit = F.shiftright(place, b).bitwiseAND(F.lit(1).cast("long"))
+            total = total + F.shiftleft(bit, b * len(columns) + len(columns) - 1 - i)
+    return total
+
+
+def _bounds_up_to(value: Column, bounds: Sequence[float]) -> Column:
+    """How many of ``bounds`` a value reaches; 0 for null."""
+    given = F.array(*[F.lit(float(x)) for x in bounds]).cast("array<double>")
+    reached = F.size(F.filter(given, lambda x: x <= value))
+    return F.when(value.isNotNull(), reached).otherwise(0).cast("long")
+
+
+def _as_number(df: DataFrame, column: str) -> Column:
+    """A number that orders values as the column does: times by seconds, text by its start."""
+    kind = df.schema[column].dataType
+    value = F.col(column)
+    if isinstance(kind, T.NumericType):
+        return value.cast("double")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.unix_micros(value.cast("timestamp")).cast("double")
+    if isinstance(kind, T.StringType):
+        head = F.rpad(F.hex(F.substring(value.cast("binary"), 1, 6)), 12, "0")
+        return F.conv(head, 16, 10).cast("double")
+    raise ValueError(f"cannot interleave {column} of type {kind.simpleString()}")
+
+
 def cluster_table(
     spark: SparkSession,
     source: str,
     target: str,
     columns: Sequence[str],
     *,
-    target_mb: int = 128,
+    target_mb: float = 128,
+    interleave: bool = False,
 ) -> int:
     """Rewrite a table so that each file covers a narrow range of ``columns``; returns its rows.
 
     Range partitioning keeps the file statistics tight, so a filter on
-    ``columns`` skips most files and row groups. The number of ranges follows
-    from the table's bytes. The position of a row in the source files breaks
-    ties, so a value that owns many rows is cut into several files too.
+    ``columns`` skips most files and row groups. In plain order that holds for
+    the first column most of all; ``interleave`` orders by all of them alike.
+    The number of ranges follows from the table's bytes. The position of a row
+    in the source files breaks ties, so a value that owns many rows is cut into
+    several files too.
     """
     files = max(1, math.ceil(table_bytes(spark, source) / (target_mb * 1024 * 1024)))
-    placed = spark.read.parquet(source).withColumn("_at", F.monotonically_increasing_id())
+    rows = spark.read.parquet(source)
+    order = interleaved(rows, columns) if interleave else F.struct(*columns)
+    placed = rows.withColumns({"_order": order, "_at": F.monotonically_increasing_id()})
     (
-        placed.repartitionByRange(files, *columns, "_at")
-        .drop("_at")
-        .sortWithinPartitions(*columns)
+        placed.repartitionByRange(files, "_order", "_at")
+        .sortWithinPartitions("_order")
+        .drop("_order", "_at")
         .write.mode("overwrite")
         .parquet(target)
     )

@@ -293,12 +293,12 @@ def profile(df: DataFrame) -> DataFrame:
 
 
 def column_profile(
-    df: DataFrame, columns: Sequence[str] | None = None, *, exact: bool = True
+    df: DataFrame, columns: Sequence[str] | None = None, *, exact: bool = False
 ) -> DataFrame:
     """``(column_name, column_type, null_count, distinct_count)``; a null is one more value.
 
-    Exact distinct counts move every distinct value once per column; with
-    ``exact=False`` one pass without a shuffle of values estimates them.
+    One pass without a shuffle of values estimates the distinct counts. Exact
+    ones (``exact=True``) move every distinct value once per column.
     """
     names = list(columns or df.columns)
     distinct = F.count_distinct if exact else F.approx_count_distinct
