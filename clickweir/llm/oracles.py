@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from clickweir.llm.quality import COMMON
+from clickweir.llm.secrets import BASE_RULES, RULES, Rule
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -154,3 +155,58 @@ select doc_id, size::bigint as size, source_size, target,
   (size * (floor(off + rate * rank) - floor(off + rate * (rank - 1))))::bigint as taken
 from ranked r join rated on rated.src = r.src join best on best.src = r.src
 """
+
+WARC = """
+with p as (
+  select page_id, coalesce(html, '') as h, sha1(coalesce(html, '')) as x from pages),
+bits as (
+  select *, array_to_string(list_transform(range(1, 41), lambda i:
+    lpad(bin(('0x' || x[i])::integer), 4, '0')), '') as b from p),
+coded as (
+  select page_id, strlen(h) as payload_bytes, h,
+    array_to_string(list_transform(range(0, 32), lambda j:
+      substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + 16 * b[5 * j + 1]::integer + 8 * b[5 * j + 2]::integer + 4 * b[5 * j + 3]::integer
+          + 2 * b[5 * j + 4]::integer + b[5 * j + 5]::integer, 1)), '') as payload_digest
+  from bits),
+firsts as (select *, min(page_id) over (partition by h) as first from coded)
+select page_id, payload_bytes, payload_digest,
+  case when first = page_id then 'response' else 'revisit' end as record_type,
+  case when first <> page_id then first end as refers_to
+from firsts
+"""
+
+
+def _matches(rank: int, rule: Rule) -> str:
+    pattern = rule.pattern.replace("'", "''")
+    return f"""
+  select doc_id, {rank} as rank, '{rule.kind}' as kind, {rule.at_least} as least,
+    unnest(range(1, len(f) + 1)) as i, f, g, pieces
+  from (
+    select doc_id, regexp_extract_all(t, '{pattern}') as f,
+      regexp_extract_all(t, '{pattern}', {rule.group}) as g,
+      string_split_regex(t, '{pattern}') as pieces
+    from d where regexp_matches(t, '{pattern}'))"""
+
+
+SECRETS = f"""
+with d as (select doc_id, coalesce(text, '') as t from documents),
+m as ({" union all ".join(_matches(i, r) for i, r in enumerate(RULES))}),
+s as (
+  select doc_id, rank, kind, length(f[i]) as n,
+    (list_sum(list_transform(pieces[:i], lambda x: length(x)))
+      + coalesce(list_sum(list_transform(f[:i - 1], lambda x: length(x))), 0))::bigint as start
+  from m where length(g[i]) >= least),
+a as (
+  select doc_id, count(*) filter (where kind = 'assign') as n_assign,
+    count(*) filter (where kind = 'access') as n_access,
+    count(*) filter (where kind = 'hex') as n_hex,
+    string_agg(concat_ws(':', kind, start, start + n), ',' order by start, rank) as spans,
+    string_agg(concat_ws(':', kind, start, start + n), ',' order by start, rank)
+      filter (where rank < {len(BASE_RULES)}) as base
+  from s group by doc_id)
+select d.doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access,
+  coalesce(n_hex, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256,
+  coalesce(spans, '') as spans
+from d left join a on a.doc_id = d.doc_id
+"""

@@ -117,8 +117,8 @@ def op10_contamination(spark: SparkSession, d: str) -> DataFrame:
 
 CHECKS = {
     "op1_quality": (op1_quality, oracles.QUALITY),
-    "op2_secrets": (op2_secrets, None),
-    "op3_warc": (op3_warc, None),
+    "op2_secrets": (op2_secrets, oracles.SECRETS),
+    "op3_warc": (op3_warc, oracles.WARC),
     "op4_simhash": (op4_simhash, None),
     "op5_lines": (op5_lines, None),
     "op6_html": (op6_html, None),

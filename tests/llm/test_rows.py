@@ -33,25 +33,36 @@ def test_quality_counts(docs, rows):
 
 
 def test_quality_distance_and_verdict(spark):
-    plain = "the man and the dog of that house is in it for you with as was on by".split()
-    good = [" ".join(plain[(i + j) % 17] + ("" if j % 9 else f"x{j}") for j in range(300)) for i in range(30)]
-    junk = " ".join(w + "%%$$##" for w in good[0].split())
-    frame = spark.createDataFrame(
-        [(i, t, "en") for i, t in enumerate(good)] + [(99, junk, "en"), (98, junk, None)],
-        "doc_id long, text string, lang string",
-    )
+    common = quality.COMMON["en"]
+
+    def text(i: int) -> str:
+        words = [common[(i + j) % 20] if j % 3 else f"w{i}x{j}." for j in range(300)]
+        return " ".join(words)
+
+    good = [(i, text(i), "en") for i in range(30)]
+    junk = " ".join(w + "%%$$##" for w in text(50).split())
+    odd = " ".join(f"z{j}q." for j in range(300))
+    short = "the " + " ".join(f"%{j}%" for j in range(55))
+    rows = [*good, (97, short, "en"), (98, odd, "en"), (99, junk, "en"), (96, text(51), None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     found = {r.doc_id: r for r in quality.judge(frame).collect()}
-    # The texts repeat windows on purpose, so only the distances are looked at.
-    assert found[99].chars_distance is None or found[99].chars_distance >= 0
     counted = quality.base_counts(frame).collect()
-    passing = [r for r in counted if not r.base_failed]
-    for lang in {r.lang for r in passing}:
-        group = [r for r in passing if r.lang == lang]
-        ref = [sum(x) for x in zip(*(r.chars for r in group))]
-        for r in counted:
-            if r.lang == lang:
-                want = brute.js_distance(r.chars, ref)
-                assert abs(found[r.doc_id].chars_distance - want) < 1e-9
+    for lang in ("en", "other"):
+        group = [r for r in counted if r.lang == lang]
+        for bins, name, guard in (("chars", "chars_distance", 300), ("common", "common_distance", 150)):
+            size = "n_chars" if bins == "chars" else "n_words"
+            given = [r[bins] for r in group if not r.base_failed and r[bins]]
+            for r in group:
+                distance = found[r.doc_id][name]
+                if r[size] < guard or not r[bins]:
+                    assert distance is None
+                else:
+                    want = brute.js_distance(r[bins], [sum(x) for x in zip(*given)])
+                    assert abs(distance - want) < 1e-9
+    assert all(found[i].kept for i in (*range(30), 96))
+    assert not found[99].kept and not found[99].base_failed  # symbols
+    assert not found[98].kept and not found[98].base_failed  # no common words
+    assert found[97].chars_distance is None and found[97].kept  # too short to be judged
 
 
 def test_quality_keeps_columns_and_handles_empty(clashing, empty):
