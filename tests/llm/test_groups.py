@@ -127,7 +127,8 @@ def _near_lines():
     return texts
 
 
-def test_similar_lines(spark):
+@pytest.mark.parametrize("native", [False, True])
+def test_similar_lines(spark, native):
     texts = _near_lines() + [(None, "short\nonly here"), (70, None), (71, ""), (71, ""), (72, " \t\n ")]
     frame = spark.createDataFrame(texts, "doc_id long, text string")
     cut = {
@@ -142,14 +143,14 @@ def test_similar_lines(spark):
     for place in sorted(cut, key=lambda p: (p[0] is None, p[0] or 0, p[1])):
         keeper.setdefault(part[cut[place]], place)
     want = {p for p in cut if keeper[part[cut[p]]] != p}
-    got = {(r.doc_id, r.line_no) for r in lines.repeated_lines(frame).collect()}
+    got = {(r.doc_id, r.line_no) for r in lines.repeated_lines(frame, native=native).collect()}
     assert not got - want  # every removed line is similar, by links, to one that stays
     assert len(got) >= 0.98 * len(want)  # and banding finds nearly all of them
     exact = {p for p in want if any(cut[q] == cut[p] for q in cut if q != p)}
     repeats = {p for p in exact if cut[p] in [cut[q] for q in cut if q != p and q not in want]}
     assert repeats <= got
     kept = {
-        (r.doc_id, r.text) for r in lines.keep_lines(frame).select("doc_id", "text").collect()
+        (r.doc_id, r.text) for r in lines.keep_lines(frame, native=native).select("doc_id", "text").collect()
     }
     for i, t in texts:
         if t is None:
