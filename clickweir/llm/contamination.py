@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from clickweir.llm.common import ascii_lower, fresh
 from clickweir.operators.joins import fits_broadcast
-from clickweir.workspace import materialise
+from clickweir.workspace import materialise, settle
 
 # Everything but digits, a-z and what is not ASCII, in texts already in lower case.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -84,6 +84,11 @@ def contamination(
     Contaminated: some word is hit, and at least one in ``parts``. ``text_hash``
     tells rows of one id apart.
     """
+    given = (docs, benchmark, doc_id, text, item_id, item_text, window, shingle, parts)
+    return settle(docs.sparkSession, lambda: _judged(*given))
+
+
+def _judged(docs, benchmark, doc_id, text, item_id, item_text, window, shingle, parts):
     windows, window_items = item_windows(benchmark, item_id, item_text, window)
     grams = materialise(
         windows.withColumn("g", F.least("n", F.lit(shingle)))

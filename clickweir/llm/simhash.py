@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from clickweir.llm.common import fresh, row_key, send_code
 from clickweir.llm.components import connected_components
 from clickweir.operators.joins import salted_join
-from clickweir.workspace import materialise
+from clickweir.workspace import materialise, settle
 
 send_code(__name__)
 
@@ -133,6 +133,10 @@ def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = 2, hot: int = 64
 ) -> DataFrame:
     """(doc_id, key, fp, component, component_id) for every row; ``component`` is a fingerprint."""
+    return settle(docs.sparkSession, lambda: _grouped(docs, doc_id, text, radius, hot))
+
+
+def _grouped(docs: DataFrame, doc_id: str, text: str, radius: int, hot: int) -> DataFrame:
     prints = materialise(fingerprints(docs, doc_id, text))
     distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     edges = materialise(link_fingerprints(distinct.select("fp"), radius, hot))
