@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Folders of the enclosing ``scratch`` blocks, innermost last.
-_SCRATCH: list[str] = []
+# The folder of the ``scratch`` block around the code that runs, per thread.
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
 
 
 @cache
@@ -32,7 +33,7 @@ def shared_base(spark: SparkSession) -> str:
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path for ``purpose`` in the shared folder, or in the scratch folder around it."""
-    base = _SCRATCH[-1] if _SCRATCH else shared_base(spark)
+    base = _SCRATCH.get() or shared_base(spark)
     return f"{base}/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -50,11 +51,11 @@ def scratch(spark: SparkSession) -> Iterator[str]:
     still reads its intermediates, so its caller opens the block.
     """
     folder = shared_dir(spark, "scratch")
-    _SCRATCH.append(folder)
+    token = _SCRATCH.set(folder)
     try:
         yield folder
     finally:
-        _SCRATCH.pop()
+        _SCRATCH.reset(token)
         remove(spark, folder)
 
 
@@ -68,3 +69,15 @@ def materialise(df: DataFrame) -> DataFrame:
     path = shared_dir(spark, "table")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def settle(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
+    """What ``build`` gives, written once; the intermediates it wrote are gone.
+
+    For a small result of many steps: only the result stays in the shared folder.
+    """
+    path = shared_dir(spark, "table")
+    with scratch(spark):
+        df = build()
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
