@@ -160,6 +160,29 @@ def test_similar_lines(spark, native):
             assert (i, left) in kept
 
 
+@pytest.mark.parametrize("native", [False, True])
+def test_similar_lines_with_other_word_starts(spark, native):
+    draw = random.Random(17)
+
+    def word(n):
+        return "".join(draw.choice("abcdefghijklmnop") for _ in range(n))
+
+    pairs = []
+    for _ in range(10):  # many spaces, but nearly all of the text without any
+        body = "".join(chr(draw.randrange(0x4E00, 0x9F00)) for _ in range(2000))
+        pairs.append([" ".join(word(3) for _ in range(28)) + " " + body for _ in range(2)])
+    for _ in range(10):  # a third of the words differ in their first letter
+        long = [word(60) for _ in range(30)]
+        pairs.append([" ".join(long), " ".join("z" + w[1:] if k % 3 == 0 else w for k, w in enumerate(long))])
+    for a, b in pairs:
+        x, y = lines.shingle_set(a), lines.shingle_set(b)
+        assert len(x & y) >= 0.8 * len(x | y)
+    rows = [(2 * i + k, line) for i, pair in enumerate(pairs) for k, line in enumerate(pair)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    gone = {r.doc_id for r in lines.repeated_lines(frame, native=native).collect()}
+    assert gone == {2 * i + 1 for i in range(len(pairs))}
+
+
 def test_line_report(docs, rows, empty, clashing):
     report = lines.line_report(docs)
     assert report.count() == len(rows)
