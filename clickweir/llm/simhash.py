@@ -19,6 +19,11 @@ each to the least of its key loses no link and adds none.
 Components are found on fingerprints and joined back to documents with hot
 fingerprints split.
 
+``keep_one_similar`` also links documents whose sets of 5-word shingles have an
+exact Jaccard similarity of 0.8 or more, which few bits of a fingerprint do not
+tell: MinHash bands give the candidates, as for ``lines``, a document's words
+being one line.
+
 Defined results: a null or blank text has fingerprint zero and is linked as any
 other; a null id is kept, and is a component id only if the whole component
 lacks ids; repeated rows get equal results; an empty table gives an empty
@@ -34,14 +39,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickweir.llm.common import fresh, row_key, send_code
+from clickweir.llm.common import ascii_lower, fresh, row_key, send_code, words
 from clickweir.llm.components import connected_components
+from clickweir.llm.lines import distinct_lines, line_components
 from clickweir.operators.joins import salted_join
 from clickweir.workspace import materialise, settle
 
 send_code(__name__)
 
 SEED = 42
+NEAR_WORDS = 5  # words of a shingle where documents are compared by their shingle sets
 _BLOCK = 1 << 16
 
 
@@ -153,7 +160,10 @@ def _grouped(docs: DataFrame, doc_id: str, text: str, radius: int, hot: int) ->
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The row with the least id (then key) of every component; same columns."""
-    found = near_duplicates(docs, doc_id, text)
+    return _least_of_each(docs, near_duplicates(docs, doc_id, text), doc_id, text)
+
+
+def _least_of_each(docs: DataFrame, found: DataFrame, doc_id: str, text: str) -> DataFrame:
     row = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
     keepers = found.groupBy("component").agg(F.min_by("key", row).alias("key"))
     key = fresh("row_key", docs)
@@ -161,3 +171,55 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
         keepers.select(F.col("key").alias(key)).hint("merge"), key, "left_semi"
     )
     return kept.dropDuplicates([key]).drop(key)
+
+
+def _similar_texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(key, part) of every row: equal for rows linked by their 5-word shingles."""
+    line = F.array_join(words(ascii_lower(F.col(text))), " ")
+    rows = docs.select(row_key(F.col(doc_id), F.col(text)).alias("key"), line.alias("line"))
+    named = rows.select("key", F.xxhash64("line").alias("id"), "line")
+    texts = named.where(F.col("line") != "").select(
+        "id",
+        F.xxhash64(F.lit(1), "line").alias("check"),
+        "line",
+        F.lit(0).alias("text_hash"),
+        F.lit(0).alias("line_no"),
+        F.lit(0).alias("doc_id"),
+    )
+    with distinct_lines(texts) as lines:
+        parts = materialise(line_components(lines, words=NEAR_WORDS))
+        alone = lines.select("id").join(
+            parts.select(F.col("node").alias("id")).hint("merge"), "id", "left_anti"
+        )
+        found = materialise(
+            parts.select(F.col("node").alias("id"), F.col("component").alias("part")).unionByName(
+                alone.select("id", F.col("id").alias("part"))
+            )
+        )
+    return salted_join(named.select("key", "id").distinct(), found, ["id"], spread_by=["key"])
+
+
+def _grouped_similar(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, key, component): components over both kinds of links."""
+    prints = materialise(_grouped(docs, doc_id, text, 2, 64).select("doc_id", "key", "component"))
+    parts = _similar_texts(docs, doc_id, text).select("key", "part")
+    pairs = materialise(
+        prints.select("key", "component").join(parts.hint("merge"), "key")
+        .select("component", "part").distinct()
+    )
+    least = materialise(pairs.groupBy("part").agg(F.min("component").alias("v")))
+    edges = salted_join(pairs, least, ["part"], spread_by=["component"])
+    merged = connected_components(edges.select(F.col("component").alias("u"), "v"))
+    merged = materialise(
+        merged.select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    )
+    every = prints.select("component").distinct().join(merged.hint("merge"), "component", "left")
+    every = materialise(every.withColumn("whole", F.coalesce("whole", "component")))
+    placed = salted_join(prints, every, ["component"], spread_by=["key"])
+    return placed.select("doc_id", "key", F.col("whole").alias("component"))
+
+
+def keep_one_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """As ``keep_one``, with documents of similar 5-word shingles linked as well."""
+    found = settle(docs.sparkSession, lambda: _grouped_similar(docs, doc_id, text))
+    return _least_of_each(docs, found, doc_id, text)

@@ -71,6 +71,34 @@ def test_one_of_each_group_stays(clashing):
     assert ids == least
 
 
+def test_similar_documents(spark):
+    draw = random.Random(23)
+    pairs = []
+
+    def grams(words):
+        return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
+
+    for n, changes in [(200, 1), (100, 1), (200, 3), (1000, 15), (60, 1), (2000, 30)] * 6:
+        a = [f"w{draw.randrange(5000)}" for _ in range(n)]
+        b = list(a)
+        for k in range(changes):  # spread evenly
+            b[(2 * k + 1) * n // (2 * changes)] = "other"
+        similarity = len(grams(a) & grams(b)) / len(grams(a) | grams(b))
+        pairs.append((" ".join(a), "  " + " \n".join(b).upper(), similarity))
+    # below 0.8 both stay
+    far = [f"w{draw.randrange(5000)}" for _ in range(100)]
+    pairs.append((" ".join(far), " ".join("other" if k % 20 == 10 else w for k, w in enumerate(far)), 0))
+    rows = [(2 * i + k, pair[k]) for i, pair in enumerate(pairs) for k in (0, 1)]
+    rows += [(900, None), (901, ""), (902, " \n "), (903, "one"), (904, "ONE"), (None, "one")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(r.doc_id for r in simhash.keep_one_similar(frame).collect())
+    firsts = [2 * i for i in range(len(pairs))]
+    also = [2 * i + 1 for i, p in enumerate(pairs) if p[2] < 0.8]
+    assert kept == sorted([*firsts, *also, 900, 903])
+    assert len(also) == 1
+    assert simhash.keep_one_similar(frame.limit(0)).count() == 0
+
+
 def _items(spark):
     given = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").select("item_id", "text")
     extra = [(9001, "same id"), (9001, "same id"), (9002, "One, TWO three!"), (9003, None), (9004, "--"),
