@@ -49,7 +49,8 @@ send_code(__name__)
 SALTS, PERIODS = 64, 16
 
 # Elements by their role in a page.
-_RAW = "script style noscript template textarea title svg iframe object select".split()
+_RAW = "script style noscript textarea title iframe".split()
+_NESTED = "template svg object select".split()  # left out like the raw ones, but they may nest
 _VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
@@ -68,11 +69,20 @@ _CUES = frozenset(
 )
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{'|'.join(_RAW)})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>"
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{'|'.join(_RAW)})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<nested>{'|'.join(_NESTED)})(?=[\s/>])(?P<inner>[^>]*)>"
+    r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:._-]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>"
     r"|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*\Z|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
+_NESTING = {
+    name: re.compile(
+        rf"<!--.*?(?:-->|\Z)|<(?P<raw>script|style)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+        rf"|<(?P<end>/?){name}(?=[\s/>])(?P<inner>[^>]*)>",
+        re.S | re.I,
+    )
+    for name in _NESTED
+}
 _ATTRIBUTE = re.compile(
     r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I
 )
@@ -95,6 +105,20 @@ class _Element:
         self.key = "main" if main else f"{name}.{classes}" if classes else name
 
 
+def _past_nested(html: str, at: int, name: str, inner: str) -> int:
+    """Where the page goes on after an element that is left out; its own kind may stand in it."""
+    if name == "svg" and inner.endswith("/"):
+        return at
+    depth = 1
+    for m in _NESTING[name].finditer(html, at):
+        if m["inner"] is None or (name == "svg" and m["inner"].endswith("/")):
+            continue
+        depth += -1 if m["end"] else 1
+        if not depth:
+            return m.end()
+    return len(html)
+
+
 def events(html: str) -> Iterator[tuple[str, object]]:
     """("open", element), ("close", element), ("text", text) and ("break", name) of a page.
 
@@ -102,10 +126,15 @@ def events(html: str) -> Iterator[tuple[str, object]]:
     around them, or, for paragraphs and entries, by the next of their kind.
     """
     stack: list[_Element] = []
-    for m in _TOKEN.finditer(html):
+    place = 0
+    while m := _TOKEN.match(html, place):
+        place = m.end()
         if m["text"] is not None:
             yield "text", m["text"]
             continue
+        if m["nested"] is not None:
+            place = _past_nested(html, place, m["nested"].lower(), m["inner"])
+            continue
         if m["name"] is None:
             continue
         name = m["name"].lower()

@@ -51,6 +51,31 @@ def test_truncated_and_stray():
     assert html.main_text("no tags at all", None) == "no tags at all"
 
 
+@pytest.mark.parametrize(
+    "odd",
+    [
+        "<svg viewBox='0 0 1 1'/>",
+        "<svg><title>t</title><svg><path/></svg><text>no</text></svg>",
+        "<svg><svg/><text>no</text></svg>",
+        "<svg-icon></svg-icon>",
+        "<select-menu></select-menu>",
+        "<title-bar></title-bar>",
+        "<nav-icon></nav-icon>",
+        "<template><template>no</template>no</template>",
+        "<object><object>no</object>no</object>",
+        "<template><script>'</template>'</script>no</template>",
+        "<SELECT><option>no</SELECT>",
+    ],
+)
+def test_elements_left_out_end_where_they_end(odd):
+    assert html.main_text(page(f"<article><p>one</p>{odd}<p>two</p></article>"), "article") == "one\ntwo"
+
+
+def test_custom_elements_are_no_boilerplate():
+    text = "<article><p>one</p><form-note>two</form-note><p>three</p></article>"
+    assert html.main_text(page(text), "article").split("\n") == ["one", "two", "three"]
+
+
 def test_wrapper_covers_its_shapes():
     few, many = (html.shape(page("<article>" + "<p>x</p>" * n + "</article>"))[0] for n in (2, 7))
     assert few == many
