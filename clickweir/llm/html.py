@@ -10,8 +10,9 @@
    partial wrappers, each folded as a stream that holds one wrapper and one
    shape, and those are then aligned with each other.
 3. The wrapper tells which containers all pages of the host share. The main one
-   is the article, or else the main element, or else that non-repeated container
-   whose own paragraphs hold most text over all pages of the host.
+   is the article, or else the main element, or else the lowest container that
+   holds the text, its inner containers' included, that differs between pages of
+   the host: most of it, and at least ``COVER`` of it, or else the body.
 4. Each page gives the blocks of its host's main container. Within it only
    boilerplate elements (by tag, role, or class and id cues) are left out; text
    is kept even where all pages of the host have it. A page without the
@@ -31,11 +32,13 @@ from __future__ import annotations
 
 import json
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,6 +50,7 @@ from clickweir.workspace import materialise
 send_code(__name__)
 
 SALTS, PERIODS = 64, 16
+COVER = 0.95  # a menu that differs by page may stand outside the main container
 
 # Elements by their role in a page.
 _RAW = "script style noscript textarea title iframe".split()
@@ -170,6 +174,24 @@ def events(html: str) -> Iterator[tuple[str, object]]:
         yield "close", stack.pop()
 
 
+def _fold_long(items: list) -> list:
+    """The first stretch of more than ``PERIODS`` items that repeats, folded."""
+    number: dict = {}
+    codes = np.array([number.setdefault(x, len(number)) for x in items])
+    for period in range(PERIODS + 1, len(items) // 2 + 1):
+        same = codes[:-period] == codes[period:]
+        if np.count_nonzero(same) < period:
+            continue
+        ends = np.flatnonzero(np.concatenate(([True], ~same, [True])))
+        long = np.flatnonzero(np.diff(ends) > period)
+        if len(long):
+            begin = int(ends[long[0]])
+            times = (int(ends[long[0] + 1]) - begin - 1) // period + 1
+            group = ("+", tuple(items[begin : begin + period]))
+            return [*items[:begin], group, *items[begin + period * times :]]
+    return items
+
+
 def fold(items: list) -> list:
     """Adjacent equal stretches as one repeated group ("+", stretch), innermost first."""
     while True:
@@ -191,27 +213,35 @@ def fold(items: list) -> list:
                     k += 1
             items = out
         # A group next to one more of its stretches takes it in.
-        out = []
+        out, groups = [], []
         for item in items:
+            while groups and groups[-1] >= len(out):
+                groups.pop()
             out.append(item)
             if isinstance(item, tuple) and item[0] == "+":
                 size = len(item[1])
                 while tuple(out[-1 - size : -1]) == item[1]:
                     del out[-1 - size : -1]
+                while groups and groups[-1] >= len(out) - 1:
+                    groups.pop()
+                groups.append(len(out) - 1)
             else:
-                for size in range(1, min(PERIODS, len(out) - 1) + 1):
-                    if out[-1 - size] == ("+", tuple(out[-size:])):
+                for at in reversed(groups):
+                    size = len(out) - 1 - at
+                    if len(out[at][1]) == size and out[at][1] == tuple(out[-size:]):
                         del out[-size:]
                         break
         items = out
+        if len(items) == before:
+            items = _fold_long(items)
         if len(items) == before:
             return items
 
 
-def shape(html: str) -> tuple[list, Counter]:
-    """The folded tag and slot stream, and text length by container of its paragraphs."""
+def shape(html: str) -> tuple[list, dict[tuple, tuple[int, int]]]:
+    """The folded tag and slot stream, and length and checksum of the text by open containers."""
     items: list = []
-    chars: Counter = Counter()
+    texts: dict[tuple, tuple[int, int]] = {}
     containers: list[str] = ["body"]
     skipped = 0
     for kind, value in events(html):
@@ -229,8 +259,10 @@ def shape(html: str) -> tuple[list, Counter]:
             if not items or items[-1] != "#":
                 items.append("#")
             if not skipped:
-                chars[containers[-1]] += len(value)
-    return fold(items), chars
+                around = tuple(dict.fromkeys(containers))
+                n, check = texts.get(around, (0, 0))
+                texts[around] = n + len(value), zlib.crc32(value.encode("utf-8", "replace"), check)
+    return fold(items), texts
 
 
 def _first(item) -> str:
@@ -308,15 +340,27 @@ def shared_containers(wrapper: list, repeated: bool = False) -> dict[str, bool]:
     return found
 
 
-def main_container(wrapper: list, chars: dict[str, int]) -> str:
-    """The key of the container that has the main text on this host."""
+def main_container(wrapper: list, texts: list[tuple[list[str], int, bool]]) -> str:
+    """The key of the container that has the main text on this host.
+
+    ``texts``: containers around a text, its length, whether it differs by page.
+    """
     found = shared_containers(wrapper)
+    held, differing = Counter(), Counter()
+    for around, n, differs in texts:
+        for key in set(around):
+            held[key] += n
+            differing[key] += n * differs
     for wanted in ("article", "main"):
         semantic = [k for k in found if k.split(".")[0] == wanted]
         if semantic:
-            return max(semantic, key=lambda k: (chars.get(k, 0), k))
-    single = [k for k, repeated in found.items() if not repeated and k != "body"]
-    return max(single, key=lambda k: (chars.get(k, 0), k), default="body")
+            return max(semantic, key=lambda k: (held[k], k))
+    counted = differing if differing["body"] else held
+    covering = [
+        k for k in found
+        if k.split(".")[0] != "body" and counted[k] >= COVER * counted["body"] > 0
+    ]
+    return max(covering, key=lambda k: (counted[k], -held[k], k), default="body")
 
 
 def _blocks_in(html: str, wanted) -> tuple[bool, list[str]]:
@@ -384,7 +428,12 @@ _SHAPES = pa.schema(
     [
         ("host", pa.string()),
         ("shape", pa.string()),
-        ("chars", pa.list_(pa.struct([("key", pa.string()), ("n", pa.int64())]))),
+        (
+            "texts",
+            pa.list_(
+                pa.struct([("around", pa.string()), ("n", pa.int64()), ("check", pa.int64())])
+            ),
+        ),
     ]
 )
 _WRAPPERS = pa.schema([("host", pa.string()), ("salt", pa.int32()), ("shape", pa.string())])
@@ -409,8 +458,11 @@ def _shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for host, html in zip(batch.column(0).to_pylist(), batch.column(1)):
-            items, chars = shape(html.as_py() or "")
-            counted = [{"key": k, "n": n} for k, n in sorted(chars.items())]
+            items, texts = shape(html.as_py() or "")
+            counted = [
+                {"around": json.dumps(k), "n": n, "check": check}
+                for k, (n, check) in sorted(texts.items())
+            ]
             rows.append((host, json.dumps(items), counted))
         yield _batch(_SHAPES, rows)
 
@@ -451,20 +503,28 @@ def infer_wrappers(shapes: DataFrame) -> DataFrame:
     return whole.select("host", "shape")
 
 
-def main_containers(wrappers: DataFrame, chars: DataFrame) -> DataFrame:
-    """(host, container) from wrappers and the text per (host, key) over all pages."""
+def main_containers(wrappers: DataFrame, texts: DataFrame) -> DataFrame:
+    """(host, container) from wrappers and the text per (host, around) over all pages."""
     out = pa.schema([("host", pa.string()), ("container", pa.string())])
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [
-                (host, main_container(load_shape(text), {c["key"]: c["n"] for c in chars or ()}))
-                for host, text, chars in zip(*(c.to_pylist() for c in batch.columns))
+                (
+                    host,
+                    main_container(
+                        load_shape(text),
+                        [(json.loads(c["around"]), c["n"], c["differs"]) for c in texts or ()],
+                    ),
+                )
+                for host, text, texts in zip(*(c.to_pylist() for c in batch.columns))
             ]
             yield _batch(out, rows)
 
-    by_host = chars.groupBy("host").agg(F.collect_list(F.struct("key", "n")).alias("chars"))
-    joined = wrappers.join(by_host, "host", "left").select("host", "shape", "chars")
+    by_host = texts.groupBy("host").agg(
+        F.collect_list(F.struct("around", "n", "differs")).alias("texts")
+    )
+    joined = wrappers.join(by_host, "host", "left").select("host", "shape", "texts")
     return joined.mapInArrow(choose, "host string, container string")
 
 
@@ -481,15 +541,19 @@ def extract(
     )
     shapes = materialise(
         given.select("host", "html").mapInArrow(
-            _shapes, "host string, shape string, chars array<struct<key:string,n:bigint>>"
+            _shapes,
+            "host string, shape string, texts array<struct<around:string,n:bigint,check:bigint>>",
         )
     )
-    chars = (
-        shapes.select("host", F.inline("chars"))
-        .groupBy("host", "key")
-        .agg(F.sum("n").alias("n"))
+    by_place = (
+        shapes.select("host", F.inline("texts"))
+        .groupBy("host", "around")
+        .agg(
+            F.sum("n").alias("n"),
+            ((F.count("*") == 1) | (F.min("check") != F.max("check"))).alias("differs"),
+        )
     )
-    containers = materialise(main_containers(infer_wrappers(shapes), chars))
+    containers = materialise(main_containers(infer_wrappers(shapes), by_place))
     if fits_broadcast(containers):
         placed = given.join(F.broadcast(containers), "host", "left")
     else:

@@ -128,3 +128,43 @@ def test_host_without_semantic_tags(spark):
     assert (got[50].text, got[51].text, got[52].text) == ("other", "other", "no host")
     assert (got[53].text, got[53].n_chars, got[None].text) == ("", 0, "no id")
     assert html.extract(pages.limit(0)).count() == 0
+
+
+def _words(seed: str, n: int) -> str:
+    return " ".join(f"{seed}{k}" for k in range(n))
+
+
+@pytest.mark.parametrize("paras", [1, 3])
+def test_body_in_several_containers(spark, paras):
+    def pages(i: int):
+        top, end = "<div class='top'>our site</div>", "<div class='end'>all rights</div>"
+        lead = f"<div class='lead'>{_words(f'lead{i}x', 4)}</div>"
+        text = "".join(f"<div class='text'>{_words(f't{i}y{j}z', 30)}</div>" for j in range(paras))
+        bio = f"<div class='bio'>{_words(f'bio{i}x', 12)}</div>"
+        para = "".join(f"<div class='para'>{_words(f'p{i}y{j}z', 9)}</div>" for j in range(3 + i))
+        card = "".join(
+            "<li>" + f"<b>{i}</b><i>x</i>" * 5 + f"<u>{_words(f'c{i}y{j}z', 40)}</u></li>" for j in range(4 + i)
+        )
+        yield f"wrap{i}", "http://wrap/", f"{top}<div class='wrap'>{lead}{text}</div>{end}", [
+            f"lead{i}x3", f"t{i}y{paras - 1}z29"
+        ], ["our", "rights"]
+        yield f"bio{i}", "http://bio/", f"{top}{para}{bio}{end}", [f"p{i}y0z8", f"p{i}y{2 + i}z8"], []
+        yield f"card{i}", "http://card/", f"<div class='a'><ul>{card}</ul></div><div class='b'>{_words(f'b{i}x', 9)}</div>", [
+            f"c{i}y0z39", f"c{i}y{3 + i}z39"
+        ], []
+
+    cases = [case for i in range(8) for case in pages(i)]
+    frame = spark.createDataFrame(
+        [(k, c[1] + c[0], f"<html><body>{c[2]}</body></html>") for k, c in enumerate(cases)],
+        "page_id long, url string, html string",
+    )
+    got = {r.page_id: r.text.split() for r in html.extract(frame).collect()}
+    for k, (name, _, _, inside, outside) in enumerate(cases):
+        assert set(inside) <= set(got[k]), name
+        assert not set(outside) & set(got[k]), name
+
+
+def test_long_groups_fold():
+    card = [f"<x{k}>" for k in range(20)]
+    assert html.fold(["a", *card * 2, "b"]) == html.fold(["a", *card * 5, "b"]) == ["a", ("+", tuple(card)), "b"]
+    assert html.fold([("+", tuple(card)), *card]) == [("+", tuple(card))]
