@@ -325,16 +325,21 @@ def load_shape(text: str) -> list:
     return [_as_tuples(x) for x in json.loads(text)]
 
 
-def shared_containers(wrapper: list, repeated: bool = False) -> dict[str, bool]:
-    """Container keys of a wrapper, and whether they stand only within repeated groups."""
+def shared_containers(
+    wrapper: list, repeated: bool = False, optional: bool = False
+) -> dict[str, bool]:
+    """Container keys all pages of a wrapper share, and whether only within repeated groups.
+
+    ``optional`` adds those of optional groups, which only some of the pages have.
+    """
     found: dict[str, bool] = {}
     for item in wrapper:
         if isinstance(item, str):
             name = item.strip("<>")
             if not item.startswith("</") and name.split(".")[0] in _CONTAINERS:
                 found[name] = found.get(name, True) and repeated
-        else:
-            inner = shared_containers(list(item[1]), repeated or item[0] == "+")
+        elif item[0] == "+" or optional:
+            inner = shared_containers(list(item[1]), repeated or item[0] == "+", optional)
             for name, only in inner.items():
                 found[name] = found.get(name, True) and only
     return found
@@ -345,7 +350,7 @@ def main_container(wrapper: list, texts: list[tuple[list[str], int, bool]]) -> s
 
     ``texts``: containers around a text, its length, whether it differs by page.
     """
-    found = shared_containers(wrapper)
+    found, some = shared_containers(wrapper), shared_containers(wrapper, optional=True)
     held, differing = Counter(), Counter()
     for around, n, differs in texts:
         for key in set(around):
@@ -355,6 +360,8 @@ def main_container(wrapper: list, texts: list[tuple[list[str], int, bool]]) -> s
         semantic = [k for k in found if k.split(".")[0] == wanted]
         if semantic:
             return max(semantic, key=lambda k: (held[k], k))
+        if any(k.split(".")[0] == wanted for k in some):
+            return "body"  # each page by its own elements
     counted = differing if differing["body"] else held
     covering = [
         k for k in found

@@ -168,3 +168,18 @@ def test_long_groups_fold():
     card = [f"<x{k}>" for k in range(20)]
     assert html.fold(["a", *card * 2, "b"]) == html.fold(["a", *card * 5, "b"]) == ["a", ("+", tuple(card)), "b"]
     assert html.fold([("+", tuple(card)), *card]) == [("+", tuple(card))]
+
+
+def test_container_of_some_pages_is_not_the_hosts(spark):
+    side = "<div class='side'>see also</div>"
+    long = [f"<div class='long'>{_words(f'l{i}x', 4000)}</div>{side}" for i in range(3)]
+    short = [f"<p>{_words(f's{i}x', 20)}</p>{side}" for i in range(6)]
+    both = [f"<p>{_words(f'b{i}x', 20)}</p><div class='long'>note {i}</div>{side}" for i in range(3)]
+    frame = spark.createDataFrame(
+        [(k, f"http://some/{k}", f"<html><body>{x}</body></html>") for k, x in enumerate(long + short + both)],
+        "page_id long, url string, html string",
+    )
+    got = {r.page_id: r.text.split() for r in html.extract(frame).collect()}
+    assert all(f"l{i}x3999" in got[i] for i in range(3))
+    assert all(f"s{i}x19" in got[3 + i] for i in range(6))
+    assert all(f"b{i}x19" in got[9 + i] for i in range(3))
