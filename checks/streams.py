@@ -274,10 +274,13 @@ def progress(spark: SparkSession, d: str) -> DataFrame:
     )
     with logged_progress(spark, f"{base}/log"):
         finish([start(Sink("progress", parts, f"{base}/checkpoint", path=f"{base}/out"))])
+    file = F.col("_metadata")["file_path"]
+    files = spark.read.parquet(source).agg(F.countDistinct(file)).scalar()
+    batches = F.countDistinct(F.when(F.col("input_rows") > 0, F.col("batch_id")))
     return progress_table(spark, f"{base}/log").agg(
         F.sum("input_rows").alias("input_rows"),
         F.sum("late_rows").alias("late_rows"),
-        (F.countDistinct(F.when(F.col("input_rows") > 0, F.col("batch_id"))) > 20).alias("all_batches"),
+        (batches == files).alias("all_batches"),
     )
 
 

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,6 +42,20 @@ def stored_rows(spark: SparkSession, path: str, fmt: str = "parquet") -> int:
     return spark.read.format(fmt).load(path).count()
 
 
+def _save_counted(spark: SparkSession, writer: DataFrameWriter, path: str, fmt: str) -> int:
+    """Save to ``path`` and count the rows of just the files this write made.
+
+    Their names carry a label of this write, so rows come from the footers of
+    the new files, whatever else the table holds. Nothing is registered with the
+    session: an observation would be, and models trained later in the session
+    would drag it into their tasks.
+    """
+    label = f"part-{uuid.uuid4().hex}"
+    writer.format(fmt).option("mapreduce.output.basename", label).save(path)
+    files = spark.read.option("pathGlobFilter", f"{label}-*").option("recursiveFileLookup", True)
+    return files.format(fmt).schema("`_none` string").load(path).count()
+
+
 def write_partitioned(
     df: DataFrame,
     path: str,
@@ -54,22 +69,18 @@ def write_partitioned(
     """Write partitioned by ``by``; returns the rows written.
 
     ``replace="dynamic"`` replaces only the partitions that occur in ``df``,
-    ``"static"`` everything below ``path``. The rows are counted while they are
-    written. An empty frame writes no files.
+    ``"static"`` everything below ``path``. ``fmt`` is a format of plain files.
+    An empty frame writes no files.
     """
-    written = Observation()
-    (
+    writer = (
         rebalance_by(df, by)
-        .observe(written, F.count("*").alias("rows"))
         .write.mode("overwrite")
-        .format(fmt)
         .option("partitionOverwriteMode", replace)
         .option("compression", compression)
         .option("maxRecordsPerFile", max_records)
         .partitionBy(*by)
-        .save(path)
     )
-    return written.get["rows"]
+    return _save_counted(df.sparkSession, writer, path, fmt)
 
 
 def write_small(df: DataFrame, path: str, sort: Sequence[str] = (), fmt: str = "parquet") -> int:
@@ -81,11 +92,7 @@ def write_small(df: DataFrame, path: str, sort: Sequence[str] = (), fmt: str = "
     single = df.repartition(1)
     if sort:
         single = single.sortWithinPartitions(*sort)
-    written = Observation()
-    single.observe(written, F.count("*").alias("rows")).write.mode("overwrite").format(fmt).save(
-        path
-    )
-    return written.get["rows"]
+    return _save_counted(df.sparkSession, single.write.mode("overwrite"), path, fmt)
 
 
 @contextmanager

@@ -196,27 +196,32 @@ PROGRESS = (
 
 
 class ProgressLog(StreamingQueryListener):
-    """Appends one row per micro-batch of every stream to a table.
+    """Appends one row per micro-batch of the streams started after it to a table.
 
     Spark itself only remembers the last 100 updates of a stream. Rows are
     written in groups of ``every``, and when a stream ends, so the driver holds
-    few of them. Register with ``spark.streams.addListener``.
+    few of them; rows of a failed write are kept for the next. Streams that ran
+    before it was registered are not logged. Register with
+    ``spark.streams.addListener``.
     """
 
     def __init__(self, spark: SparkSession, path: str, every: int = 200):
         self._spark, self._path, self._every = spark, path, every
         self._rows: list[tuple] = []
         self._lock = Lock()
+        self.started: set[str] = set()
         self.ended: set[str] = set()
 
     def onQueryStarted(self, event) -> None:
-        pass
+        self.started.add(str(event.runId))
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
         report = event.progress
+        if str(report.runId) not in self.started:
+            return
         states = report.stateOperators
         row = (
             report.name,
@@ -236,17 +241,26 @@ class ProgressLog(StreamingQueryListener):
             self.flush()
 
     def onQueryTerminated(self, event) -> None:
-        self.flush()
-        self.ended.add(str(event.runId))
+        if str(event.runId) in self.started:
+            try:
+                self.flush()
+            finally:
+                self.ended.add(str(event.runId))
 
     def flush(self) -> None:
         """Write what has come in since the last time."""
         with self._lock:
             rows, self._rows = self._rows, []
-        if rows:
+        if not rows:
+            return
+        try:
             self._spark.createDataFrame(rows, PROGRESS).coalesce(1).write.mode("append").parquet(
                 self._path
             )
+        except Exception:
+            with self._lock:
+                self._rows = rows + self._rows
+            raise
 
 
 @contextmanager
@@ -258,7 +272,11 @@ def logged_progress(spark: SparkSession, path: str, patience: float = 60) -> Ite
         yield log
         # Updates reach listeners a little after the stream; an end is the last of them.
         deadline = time.monotonic() + patience
-        while spark.streams.active or time.monotonic() < deadline and not log.ended:
+        while log.started - log.ended:
+            if any(str(query.runId) in log.started for query in spark.streams.active):
+                deadline = time.monotonic() + patience
+            elif time.monotonic() > deadline:
+                break
             time.sleep(0.2)
     finally:
         spark.streams.removeListener(log)

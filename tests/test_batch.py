@@ -444,6 +444,17 @@ def test_empty_frames_are_written(spark, tmp_path):
     assert layout.write_partitioned(spark.range(0).withColumn("p", F.lit(1)), path, ["p"]) == 0
 
 
+def test_only_the_rows_of_this_write_are_counted(spark, tmp_path):
+    df = spark.range(100).withColumn("p", F.col("id") % 4)
+    for fmt in ("parquet", "json", "orc"):
+        path = str(tmp_path / fmt)
+        assert layout.write_partitioned(df, path, ["p"], fmt=fmt) == 100
+        assert layout.write_partitioned(df.where("p = 1"), path, ["p"], fmt=fmt) == 25
+        assert layout.write_partitioned(df.limit(0), path, ["p"], fmt=fmt) == 0
+        assert spark.read.format(fmt).load(path).count() == 100
+        assert layout.write_small(df, str(tmp_path / f"one-{fmt}"), ["id"], fmt=fmt) == 100
+
+
 def test_compaction_keeps_rows_and_cuts_files(spark, tmp_path):
     source, target, by = (str(tmp_path / n) for n in ("many", "few", "by"))
     spark.range(1000).withColumn("p", F.col("id") % 3).repartition(20).write.parquet(source)

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import math
+from datetime import datetime
 
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
+from clickweir import schema
 from clickweir.ml import evaluate, features, train
 from clickweir.ml.scoring import reply, score
+from clickweir.operators import layout
+from clickweir.plans.batch import run_day
 from clickweir.plans.stream import score_messages
 from clickweir.plans.training import run_training
 from clickweir.sources.stream import to_envelope
@@ -199,6 +203,31 @@ def test_train_save_load_score(spark, rows, tmp_path):
     assert any("x" in r["feature"] for r in top)
 
 
+def test_training_and_scoring_after_the_daily_job(spark, rows, tmp_path):
+    start = datetime(2024, 1, 2)
+    events = rows.select(
+        F.col("id").cast("string").alias("event_id"),
+        F.lit(1).cast("long").alias("user_id"),
+        F.timestamp_add("MINUTE", F.col("id").cast("int"), F.lit(start)).alias("timestamp"),
+        F.lit("VIEW").alias("event_type"),
+        F.lit("c").alias("category"),
+        F.col("x").alias("amount"),
+        F.lit(None).cast("map<string,string>").alias("properties"),
+        F.lit(None).cast("array<string>").alias("tags"),
+        F.lit(None).cast(schema.EVENT["location"].dataType).alias("location"),
+    ).withColumn("date", F.to_date("timestamp"))
+    layout.write_partitioned(events, str(tmp_path / "days"), ["date"])
+    report = run_day(spark, str(tmp_path / "days"), str(tmp_path / "out"), "2024-01-02")
+    assert report.first()["detail_rows"] == 400
+    grids = {"logistic": {"regParam": [0.01]}}
+    path = str(tmp_path / "models")
+    model, _, folder = run_training(rows, path, grids=grids, folds=2)
+    loaded, request = train.load(spark, folder)
+    requests = to_envelope(rows.withColumn("at", F.current_timestamp()), "id", "at")
+    assert score_messages(requests, model, request).count() == 400
+    assert score_messages(requests, loaded, request).count() == 400
+
+
 def test_features_per_fold_and_models_without_probability(spark, rows):
     train_df, test_df = train.split(rows, ["id"])
     pipeline = features.feature_pipeline({"numeric": ["x"]})

@@ -19,6 +19,7 @@ from clickweir.sources.stream import (
     topic_options,
 )
 from clickweir.streaming.run import (
+    ProgressLog,
     Sink,
     collapse,
     logged_progress,
@@ -278,3 +279,31 @@ def test_a_failing_stream_stops_the_others_and_raises(spark, feed, tmp_path):
     with pytest.raises(Exception, match="broken on purpose"):
         wait_all(queries, 120)
     assert not any(q.isActive for q in queries)
+
+
+def test_the_log_is_of_the_streams_inside_the_block(spark, tmp_path):
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", "20").load()
+    other = start(
+        Sink("other", ticks, str(tmp_path / "c1"), path=str(tmp_path / "o1"), trigger="1 second")
+    )
+    try:
+        with logged_progress(spark, str(tmp_path / "log")):
+            spark.range(10).write.parquet(str(tmp_path / "ids"))
+            rows = spark.readStream.schema("id long").parquet(str(tmp_path / "ids"))
+            run(Sink("mine", rows, str(tmp_path / "c2"), path=str(tmp_path / "o2")))
+        assert other.isActive
+    finally:
+        other.stop()
+    names = progress_table(spark, str(tmp_path / "log")).select("name").distinct().collect()
+    assert [r["name"] for r in names] == ["mine"]
+
+
+def test_progress_of_a_failed_write_is_written_later(spark, tmp_path):
+    (tmp_path / "log").write_text("in the way")
+    log = ProgressLog(spark, str(tmp_path / "log"))
+    log._rows = [("a", 0, "", 1, 0.0, 0.0, None, 0, 0)]
+    with pytest.raises(Exception):
+        log.flush()
+    (tmp_path / "log").unlink()
+    log.flush()
+    assert progress_table(spark, str(tmp_path / "log")).count() == 1
