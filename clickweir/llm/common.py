@@ -52,3 +52,23 @@ def fresh(name: str, *frames: DataFrame) -> str:
 def send_code(module: str) -> None:
     """Send this module's functions along with tasks, so workers need not have it installed."""
     cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
+def copies_of(df: DataFrame, count: str, number: str, block: int = 1024) -> DataFrame:
+    """Each row as often as ``count`` says, numbered from 0 in ``number`` instead of ``count``.
+
+    A count above ``block`` is first cut into blocks that are dealt out over the
+    tasks, so no task has to make all copies of one row.
+    """
+    size = F.lit(block).cast("long")
+    starts = F.sequence(F.lit(0).cast("long"), F.col(count) - 1, size)
+    blocks = df.where(F.col(count) > 0).withColumn(number, F.explode(starts))
+    few = blocks.where(F.col(count) <= size)
+    many = blocks.where(F.col(count) > size)
+    many = many.repartition(*many.columns)
+    last = F.least(F.col(number) + size, F.col(count)) - 1
+    return (
+        few.unionByName(many)
+        .withColumn(number, F.explode(F.sequence(F.col(number), last)))
+        .drop(count)
+    )

@@ -210,3 +210,130 @@ select d.doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_a
   coalesce(spans, '') as spans
 from d left join a on a.doc_id = d.doc_id
 """
+
+
+def _crc32(name: str, source: str) -> str:
+    """SQL for ``name`` (x, crc): the unsigned CRC-32 of every distinct ``x`` of ``source``."""
+    return f"""
+crc_bits(i, k, v) as (
+  select i, 0, i from range(256) r(i)
+  union all
+  select i, k + 1, case when v % 2 = 1 then xor(v >> 1, {0xEDB88320}) else v >> 1 end
+  from crc_bits where k < 8),
+crc_table as (select list(v order by i) as t from crc_bits where k = 8),
+crc_bytes as (
+  select x, list_transform(regexp_extract_all(hex(encode(x)), '..'),
+    lambda z: cast('0x' || z as bigint)) as l
+  from (select distinct x from {source})),
+{name} as (
+  select x, xor(4294967295, list_reduce(list_prepend(4294967295, l),
+    lambda a, z: xor(a >> 8, t[1 + (xor(a, z) & 255)]))) as crc
+  from crc_bytes, crc_table)"""
+
+
+SHARDING = f"""
+with recursive texts as (select coalesce(text, '') as x from documents),
+{_crc32("crcs", "texts")},
+d as (
+  select doc_id, coalesce(text, '') as x, strlen(coalesce(text, ''))::bigint + 16 as size,
+    cast('0x' || substr(md5(coalesce(text, '')), 1, 15) as bigint) as k
+  from documents),
+r as (select k, doc_id, size, x, count(*) as n from d group by all),
+t as (select coalesce(sum(size * n), 0)::bigint as total,
+    greatest(1, coalesce(sum(size * n), 0)::bigint // 2000) as unit from r),
+g as (select k from r group by k having sum(size * n) > (select unit from t)),
+p as (
+  select r.*, unnest(range(0, n, greatest(1, unit // size))) as piece,
+    greatest(1, unit // size) as step, k in (select k from g) as big
+  from r, t),
+q as (
+  select k, doc_id, size, x, piece, least(step, n - piece) as m,
+    case when big then cast('0x' || substr(md5(coalesce(doc_id::varchar, 'null') || ':' || piece), 1, 15)
+      as bigint) else -1 end as k2
+  from p),
+s as (
+  select *, sum(size * m) over (order by k, k2) as ends,
+    sum(size * m) over (partition by k, k2) as unit_bytes,
+    sum(m) over (order by k, k2, doc_id nulls first, size, piece rows unbounded preceding) - m
+      as place
+  from q),
+a as (select s.*, ((2 * ends - unit_bytes)::bigint * 40) // (2 * total) as shard from s, t)
+select doc_id, size, crc::bigint as text_crc32, 'bytes' as law, shard::integer as shard,
+  (place - first + unnest(range(0, m)))::bigint as slot, null::integer as grown_shard
+from (select *, min(place) over (partition by shard) as first from a) join crcs using (x)
+"""
+
+TRIE = rf"""
+with recursive ids as (select distinct conv_id::varchar as x from conversations where conv_id is not null),
+{_crc32("crcs", "ids")},
+own as (
+  select conv_id as c, list((coalesce(role, ''), coalesce(text, ''))
+    order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as turns
+  from conversations where conv_id is not null group by conv_id),
+built as (
+  select own.c, list_concat(coalesce(donor.turns, [])[:crc % 4], own.turns[crc % 4 + 1:]) as turns
+  from own join crcs on x = own.c::varchar left join own donor on donor.c = own.c - own.c % 20),
+member as (
+  select c, unnest(range(0, len(turns) + 1)) as depth, turns from built),
+pre as (select c, depth, turns[:depth] as p, depth = len(turns) as ended,
+  case when depth > 0 then len(regexp_extract_all(turns[depth][2], '{_WORD}')) else 0 end as tokens
+  from member),
+node as (
+  select p, depth, min(c) as conv_id, count(*) as n_convs, any_value(tokens) as tokens,
+    sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (where ended), '')) as ends_sha256
+  from pre group by p, depth),
+kids as (select p[:depth - 1] as p, count(*) as n from node where depth > 0 group by all),
+full_node as (
+  select node.*, coalesce(kids.n, 0) as n_children from node left join kids on node.p = kids.p),
+above as (
+  select p[:unnest(range(0, depth + 1))] as p, (n_children = 0)::int as leaf,
+    (n_convs - 1) * tokens as saved
+  from full_node),
+sums as (select p, sum(leaf) as n_leaves, sum(saved) as saved_tokens from above group by p)
+select f.conv_id, f.depth, parent.conv_id as parent_conv_id, f.n_convs, f.n_children,
+  sums.n_leaves::bigint as n_leaves, sums.saved_tokens::bigint as saved_tokens, f.ends_sha256
+from full_node f join sums on sums.p = f.p
+left join node parent on f.depth > 0 and parent.p = f.p[:f.depth - 1]
+"""
+
+RESAMPLING = rf"""
+with recursive texts as (
+  select 'd' as kind, row_number() over () as r, doc_id, text from documents
+  union all select 'b', row_number() over (), null, text from benchmark),
+w as (
+  select kind, r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}',
+    '{_UPPER.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as l from texts),
+f as (
+  select kind, r, unnest(list_concat(l, list_transform(range(1, len(l)),
+    lambda i: l[i] || ' ' || l[i + 1]))) as x from w),
+{_crc32("crcs", "f")},
+fb as (select kind, r, (crc % 10000)::integer as bucket, count(*) as n from f join crcs using (x) group by all),
+c as (
+  select range::integer as bucket, coalesce(sum(n) filter (where kind = 'd'), 0) as s,
+    coalesce(sum(n) filter (where kind = 'b'), 0) as t
+  from range(10000) left join fb on fb.bucket = range group by all),
+z as (select sum(s) as ss, sum(t) as tt from c),
+gain as (
+  select bucket, floor(1000 * ln((t + 1)::double * (ss + 10000)::double
+    / ((s + 1)::double * (tt + 10000)::double)))::bigint as gain from c, z),
+sums as (
+  select r, sum(n)::bigint as n_features, floor(sum(n * gain)::double / sum(n))::bigint as weight
+  from fb join gain using (bucket) where kind = 'd' group by r),
+scored as (
+  select w.doc_id, w.r, len(l) as n_words, coalesce(n_features, 0) as n_features,
+    coalesce(weight, 0) as weight,
+    (cast('0x' || substr(sha256('7:' || coalesce(w.doc_id::varchar, 'null')), 1, 8) as bigint) + 0.5::double)
+      / 4294967296 as u
+  from w left join sums using (r) where kind = 'd'),
+noisy as (
+  select *, weight + floor(-1000 * ln(-ln(u)))::bigint as score, n_words >= 20 as long_enough
+  from scored),
+placed as (
+  select *, row_number() over (partition by long_enough
+      order by score desc, doc_id nulls last, n_features, n_words) as place,
+    floor(25 * count(*) over (partition by long_enough) / 100) as drawn
+  from noisy)
+select doc_id, n_features, weight, score,
+  case when long_enough and place <= drawn then place end as rank
+from placed
+"""

@@ -17,9 +17,12 @@ from clickweir.llm import (
     oracles,
     pii,
     quality,
+    resampling,
     secrets,
+    sharding,
     simhash,
     tokens,
+    trie,
     warc,
 )
 from clickweir.llm.common import table
@@ -115,6 +118,37 @@ def op10_contamination(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op11_sharding(spark: SparkSession, d: str) -> DataFrame:
+    return sharding.assign_shards(table(spark, d, "documents")).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op12_trie(spark: SparkSession, d: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, d, "conversations")).select(
+        "conv_id",
+        "depth",
+        "parent_conv_id",
+        "n_convs",
+        "n_children",
+        "n_leaves",
+        "saved_tokens",
+        "ends_sha256",
+    )
+
+
+def op13_resampling(spark: SparkSession, d: str) -> DataFrame:
+    return resampling.resample(table(spark, d, "documents"), table(spark, d, "benchmark")).select(
+        "doc_id", "n_features", "weight", "score", "rank"
+    )
+
+
 CHECKS = {
     "op1_quality": (op1_quality, oracles.QUALITY),
     "op2_secrets": (op2_secrets, oracles.SECRETS),
@@ -126,4 +160,7 @@ CHECKS = {
     "op8_pii": (op8_pii, None),
     "op9_tokens": (op9_tokens, None),
     "op10_contamination": (op10_contamination, oracles.CONTAMINATION),
+    "op11_sharding": (op11_sharding, oracles.SHARDING),
+    "op12_trie": (op12_trie, oracles.TRIE),
+    "op13_resampling": (op13_resampling, oracles.RESAMPLING),
 }
