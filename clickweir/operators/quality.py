@@ -271,6 +271,109 @@ def schema_compliance(df: DataFrame, expected: T.StructType) -> DataFrame:
     return verdict.join(nulls, "column_name", "left")
 
 
+# Types that hold every value of those before them, by family.
+_WIDER = (("tinyint", "smallint", "int", "bigint"), ("float", "double"))
+
+
+def _type_change(wanted: T.DataType, found: T.DataType) -> str:
+    """``widened`` if every expected value fits the found type, ``narrowed`` if the reverse."""
+
+    def fits(a: T.DataType, b: T.DataType) -> bool:
+        small, large = a.simpleString(), b.simpleString()
+        if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType):
+            return a.scale <= b.scale and a.precision - a.scale <= b.precision - b.scale
+        if isinstance(a, T.IntegralType) and isinstance(b, T.DoubleType):
+            return small != "bigint"
+        if isinstance(a, T.DateType) and isinstance(b, (T.TimestampType, T.TimestampNTZType)):
+            return True
+        return any(
+            small in order and large in order and order.index(small) < order.index(large)
+            for order in _WIDER
+        )
+
+    if fits(wanted, found):
+        return "widened"
+    return "narrowed" if fits(found, wanted) else "type"
+
+
+def _walk(
+    path: str, wanted: T.DataType | None, found: T.DataType | None
+) -> list[tuple[str, str | None, str | None, str | None]]:
+    """(path, expected, actual, issue) of a type and of all types inside it."""
+
+    def text(kind: T.DataType | None) -> str | None:
+        return None if kind is None else kind.simpleString()
+
+    if wanted is None or found is None:
+        return [(path, text(wanted), text(found), "missing" if found is None else "extra")]
+    if type(wanted) is not type(found):
+        return [(path, text(wanted), text(found), _type_change(wanted, found))]
+    inside: list[tuple[str, T.DataType | None, T.DataType | None]] = []
+    if isinstance(wanted, T.StructType):
+        names = [*wanted.names, *[n for n in found.names if n not in wanted.names]]
+        inside = [
+            (
+                f"{path}.{n}" if path else n,
+                wanted[n].dataType if n in wanted.names else None,
+                found[n].dataType if n in found.names else None,
+            )
+            for n in names
+        ]
+    elif isinstance(wanted, T.ArrayType):
+        inside = [(f"{path}[]", wanted.elementType, found.elementType)]
+    elif isinstance(wanted, T.MapType):
+        inside = [
+            (f"{path}.key", wanted.keyType, found.keyType),
+            (f"{path}.value", wanted.valueType, found.valueType),
+        ]
+    elif wanted != found:
+        return [(path, text(wanted), text(found), _type_change(wanted, found))]
+    rows = [(path, text(wanted), text(found), None)] if path and not inside else []
+    for step in inside:
+        rows += _walk(*step)
+    return rows
+
+
+def nested_compliance(df: DataFrame, expected: T.StructType) -> DataFrame:
+    """As ``schema_compliance``, down to the fields of structs, arrays and maps.
+
+    One row per innermost path: ``a.b`` for a field of a struct, ``a[]`` for the
+    elements of an array, ``a.key`` and ``a.value`` for those of a map. ``issue``
+    is ``missing``, ``extra``, ``widened`` (every expected value fits the type
+    found), ``narrowed`` (the reverse), ``type`` or null. ``null_count`` has the
+    rows in which a field is null or lies in a null struct; it is null for what
+    is missing or inside arrays and maps. One pass counts all of them.
+    """
+    rows = _walk("", expected, df.schema)
+    counted = [
+        path for path, _, actual, _ in rows if actual is not None and _column_of(df.schema, path)
+    ]
+    quoted = [".".join(f"`{part}`" for part in path.split(".")) for path in counted]
+    counts = [F.count_if(F.col(q).isNull()).alias(f"n{i}") for i, q in enumerate(quoted)]
+    listed = F.array(
+        *[
+            F.struct(F.lit(path).alias("path"), F.col(f"n{i}").alias("null_count"))
+            for i, path in enumerate(counted)
+        ]
+    )
+    verdict = df.sparkSession.createDataFrame(
+        rows, "path string, expected_type string, actual_type string, issue string"
+    )
+    if not counted:
+        return verdict.withColumn("null_count", F.lit(None).cast("long"))
+    return verdict.join(df.agg(*counts).select(F.inline(listed)), "path", "left")
+
+
+def _column_of(schema: T.StructType, path: str) -> bool:
+    """Whether ``path`` is a column or a field of structs only."""
+    kind: T.DataType = schema
+    for part in path.split("."):
+        if not isinstance(kind, T.StructType) or part not in kind.names:
+            return False
+        kind = kind[part].dataType
+    return True
+
+
 def is_compliant(verdict: DataFrame) -> DataFrame:
     """One row: missing and extra columns, and whether none is missing or mistyped."""
     return verdict.agg(

@@ -346,7 +346,9 @@ def user_sessions(
     """Sessions per user: runs of events with no pause longer than ``gap``.
 
     ``session_end`` is the last event plus ``gap``. Streams use Spark's
-    session windows. The batch form first folds the events of each (user,
+    session windows; start them with ``settings=LOCAL_SESSIONS`` (of
+    ``streaming.run``), so that a hot user's events are folded to sessions in every
+    task before the shuffle. The batch form first folds the events of each (user,
     gap-long slot) into one row - two events of a slot are always in one
     session - so the ordered pass per user sees slots and not events.
     """

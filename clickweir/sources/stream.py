@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -111,3 +111,75 @@ def split_malformed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     bad = F.col(CORRUPT).isNotNull() | F.col("_empty")
     good = df.where(~bad).drop(CORRUPT, "_empty")
     return good, df.where(bad).withColumnRenamed(CORRUPT, "raw_value").drop("_empty")
+
+
+def _kind_fits(kind: T.DataType, name: str) -> Column:
+    """Whether the field of ``_json`` has a JSON value that the parser takes for ``kind``."""
+    path = f"$.{name}"
+    field = F.try_variant_get("_json", path, "variant")
+    given = F.schema_of_variant(field)
+    if isinstance(kind, T.IntegralType):
+        return given == "BIGINT"
+    if isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType)):
+        return given.isin("BIGINT", "DOUBLE") | given.startswith("DECIMAL")
+    if isinstance(kind, (T.TimestampType, T.DateType)):
+        return (given == "BIGINT") | F.try_variant_get("_json", path, "timestamp").isNotNull()
+    if isinstance(kind, T.BooleanType):
+        return given == "BOOLEAN"
+    if isinstance(kind, (T.StructType, T.MapType)):
+        return given.startswith("OBJECT")
+    if isinstance(kind, T.ArrayType):
+        return given.startswith("ARRAY")
+    return F.lit(True)
+
+
+def with_reason(
+    rejected: DataFrame,
+    schema: T.StructType = schemas.STREAM_EVENT,
+    text: str = "raw_value",
+) -> DataFrame:
+    """``reason`` and ``field``: why a message was set aside, and the first field at fault.
+
+    ``empty``, ``not json`` (also an array or a bare value), ``missing`` (a required
+    field that is absent or null), ``type`` (a value the field's type does not take),
+    or ``other`` for what lies deeper. Fields are looked at in the order of ``schema``.
+    """
+    judged = rejected.withColumn("_json", F.try_parse_json(text))
+    found = F.lit(None).cast("struct<reason: string, field: string>")
+    for field in schema.fields:
+        value = F.try_variant_get("_json", f"$.{field.name}", "variant")
+        absent = value.isNull() | F.coalesce(F.is_variant_null(value), F.lit(True))
+
+        def fault(reason: str, name: str = field.name) -> Column:
+            return F.struct(F.lit(reason).alias("reason"), F.lit(name).alias("field"))
+
+        wrong = F.when(absent, F.lit(None) if field.nullable else fault("missing")).when(
+            ~F.coalesce(_kind_fits(field.dataType, field.name), F.lit(False)), fault("type")
+        )
+        found = F.coalesce(found, wrong)
+    no_field = F.lit(None).cast("string")
+    whole = F.coalesce(F.schema_of_variant("_json").startswith("OBJECT"), F.lit(False))
+    reason = (
+        F.when(F.col(text).isNull(), F.struct(F.lit("empty").alias("reason"), no_field.alias("field")))
+        .when(~whole, F.struct(F.lit("not json").alias("reason"), no_field.alias("field")))
+        .otherwise(
+            F.coalesce(
+                found, F.struct(F.lit("other").alias("reason"), no_field.alias("field"))
+            )
+        )
+    )
+    return judged.withColumn("_found", reason).select(
+        *rejected.columns,
+        F.col("_found.reason").alias("reason"),
+        F.col("_found.field").alias("field"),
+    )
+
+
+def rejected_shape(rejected: DataFrame, text: str = "raw_value") -> DataFrame:
+    """One row: the common schema of all rejected messages that are JSON, and how many they are."""
+    parsed = F.try_parse_json(text)
+    return rejected.agg(
+        F.count("*").alias("messages"),
+        F.count(parsed).alias("json_messages"),
+        F.schema_of_variant_agg(parsed).alias("shape"),
+    )

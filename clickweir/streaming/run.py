@@ -22,7 +22,7 @@ class Sink:
     ``fmt`` is any streaming sink (parquet, json, delta, kafka, memory, ...);
     with ``batch`` set, each micro-batch goes to that function instead.
     ``trigger`` is a processing-time interval, or None to take all data there
-    is now and stop.
+    is now and stop. ``settings`` hold for this stream only.
     """
 
     name: str
@@ -35,10 +35,40 @@ class Sink:
     partition_by: Sequence[str] = ()
     options: Mapping[str, str] = field(default_factory=dict)
     batch: Callable[[DataFrame, int], None] | None = None
+    settings: Mapping[str, str] = field(default_factory=dict)
+
+
+# Folds the events of a session within each task before they are shuffled, so a user
+# with very many events sends few rows to the task that keeps its state.
+LOCAL_SESSIONS = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
+
+_STARTING = Lock()
+
+
+@contextmanager
+def _settings(spark: SparkSession, wanted: Mapping[str, str]) -> Iterator[None]:
+    """The settings a stream copies from its session when it starts; one start at a time."""
+    with _STARTING:
+        before = {name: spark.conf.get(name, None) for name in wanted}
+        try:
+            for name, value in wanted.items():
+                spark.conf.set(name, value)
+            yield
+        finally:
+            for name, value in before.items():
+                if value is None:
+                    spark.conf.unset(name)
+                else:
+                    spark.conf.set(name, value)
 
 
 def start(sink: Sink) -> StreamingQuery:
     """Start one stream with its own checkpoint."""
+    with _settings(sink.df.sparkSession, sink.settings):
+        return _start(sink)
+
+
+def _start(sink: Sink) -> StreamingQuery:
     writer = (
         sink.df.writeStream.queryName(sink.name)
         .outputMode(sink.mode)

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from clickweir import schema
 from clickweir.functions import columns
 from clickweir.operators import alerts, clean, joins, layout, quality, runs, summary, windows
+from clickweir.operators.buckets import KeyLedger
 from clickweir.plans.batch import run_day
 from clickweir.sources import batch
 
@@ -424,6 +425,22 @@ def test_run_day(spark, days, tmp_path, frame):
     assert spark.read.parquet(f"{target}/runs").first()["records_processed"] == got["detail_rows"]
 
 
+def test_run_day_drops_what_another_day_has_kept(spark, tmp_path, frame):
+    rows = [event(str(i), minute=i * 100) for i in range(30)]  # 15 on each of the first two days
+    rows += [event(str(i), minute=1440 + i) for i in range(5)]  # again on the second day
+    source, target = str(tmp_path / "days"), str(tmp_path / "out")
+    df = frame(rows).withColumn("date", F.to_date("timestamp"))
+    layout.write_partitioned(df, source, ["date"])
+    ledger = KeyLedger(spark, str(tmp_path / "ledger"), "ledger_days", buckets=4)
+    kept = [
+        run_day(spark, source, target, date, as_of=T0, ledger=ledger).first()["detail_rows"]
+        for date in ("2024-01-01", "2024-01-02", "2024-01-01", "2024-01-02")
+    ]
+    assert kept == [15, 14, 15, 14]
+    detail = spark.read.parquet(f"{target}/detailed")
+    assert detail.count() == detail.select("event_id").distinct().count() == 29
+
+
 def test_run_day_without_events(spark, days, tmp_path):
     for date, types in (("2031-01-01", ["VIEW"]), ("2024-01-02", ["NO SUCH TYPE"])):
         target = str(tmp_path / date)
