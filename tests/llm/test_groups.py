@@ -260,3 +260,42 @@ def test_mix(docs, rows, empty, clashing):
     assert mixed.columns == [*clashing.columns, "copy_no"]
     assert mixed.count() == sum(r["copies"] for r in got)
     assert mixing.copies(empty).count() == 0
+
+
+def _pairs_of_second_pass(spark, texts, words=None):
+    """The pairs that ``_with_all`` gives for lines that are all apart."""
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, line string")
+    none = spark.createDataFrame([], "node long, component long")
+    prefixes = lines._rare_shingles(rows.select("id"), rows, words)
+    found = lines._with_all(lines._with_component(prefixes, none)).collect()
+    return {(r.u, r.v) for r in found}
+
+
+@pytest.mark.parametrize("words", [None, 5])
+def test_no_similar_pair_is_left_out(spark, words):
+    draw = random.Random(8)
+    texts = []
+    for _ in range(12):
+        base = [f"w{draw.randrange(300)}" for _ in range(draw.choice([3, 9, 40, 90]))]
+        for _ in range(8):
+            changed = list(base)
+            for _ in range(draw.randrange(3)):
+                changed[draw.randrange(len(changed))] = f"x{draw.randrange(50)}"
+            texts.append(" ".join(changed))
+    texts = sorted(set(texts))
+    sets = [lines.shingle_set(t, words) for t in texts]
+    similar = {
+        (v, u)
+        for u, v in combinations(range(len(texts)), 2)
+        if 5 * len(sets[u] & sets[v]) >= 4 * len(sets[u] | sets[v])
+    }
+    assert len(similar) > 5
+    assert similar <= _pairs_of_second_pass(spark, texts, words)
+
+
+def test_dissimilar_lines_of_one_band_are_not_paired(spark):
+    draw = random.Random(8)
+    frame = "the terms of this page apply to all of its readers and to "
+    texts = [frame + "".join(draw.choice("abcdefghij ") for _ in range(40)) for _ in range(2000)]
+    assert len(_pairs_of_second_pass(spark, texts)) < 2000
+
