@@ -53,8 +53,8 @@ SALTS, PERIODS = 64, 16
 COVER = 0.95  # a menu that differs by page may stand outside the main container
 
 # Elements by their role in a page.
-_RAW = "script style noscript textarea title iframe".split()
-_NESTED = "template svg object select".split()  # left out like the raw ones, but they may nest
+_RAW = "noscript textarea title iframe".split()  # left out, like scripts and styles
+_NESTED = "template svg object select".split()  # left out too, but they may nest
 _VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
@@ -73,8 +73,8 @@ _CUES = frozenset(
 )
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{'|'.join(_RAW)})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    rf"|<(?P<nested>{'|'.join(_NESTED)})(?=[\s/>])(?P<inner>[^>]*)>"
+    r"<!--.*?(?:-->|\Z)|<(?P<code>script|style)(?=[\s/>])[^>]*>.*?(?:</(?P=code)\s*>|\Z)"
+    rf"|<(?P<left>{'|'.join(_RAW + _NESTED)})(?=[\s/>])(?P<inner>[^>]*)>"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:._-]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>"
     r"|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*\Z|(?P<text>[^<]+|<)",
     re.S | re.I,
@@ -87,6 +87,8 @@ _NESTING = {
     )
     for name in _NESTED
 }
+_RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in _RAW}
+_BLOCK_TAG = re.compile(rf"</?(?:{'|'.join(sorted(_BLOCKS))})(?=[\s/>])", re.I)
 _ATTRIBUTE = re.compile(
     r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I
 )
@@ -109,18 +111,49 @@ class _Element:
         self.key = "main" if main else f"{name}.{classes}" if classes else name
 
 
-def _past_nested(html: str, at: int, name: str, inner: str) -> int:
-    """Where the page goes on after an element that is left out; its own kind may stand in it."""
-    if name == "svg" and inner.endswith("/"):
-        return at
-    depth = 1
-    for m in _NESTING[name].finditer(html, at):
-        if m["inner"] is None or (name == "svg" and m["inner"].endswith("/")):
-            continue
-        depth += -1 if m["end"] else 1
-        if not depth:
-            return m.end()
-    return len(html)
+class _LeftOut:
+    """Where a page goes on after an element that is left out.
+
+    One that has no end tag ends before the next tag of a block, or with the
+    element around it, whichever is first. What is known of a page is kept, so
+    very many elements without an end cost one pass per name.
+    """
+
+    def __init__(self, html: str):
+        self.html = html
+        self.ends: dict[str, dict[int, int]] = {}  # of elements that may nest, by their start
+        self.endless: set[str] = set()  # raw elements without a further end tag
+
+    def _nested_ends(self, name: str) -> dict[int, int]:
+        found, opened = {}, []
+        for m in _NESTING[name].finditer(self.html):
+            if m["inner"] is None:
+                continue
+            if m["end"]:
+                if opened:
+                    found[opened.pop()] = m.end()
+            elif name != "svg" or not m["inner"].endswith("/"):
+                opened.append(m.end())
+        return found
+
+    def past(self, at: int, name: str, inner: str, parent: str | None) -> int:
+        if name == "svg" and inner.endswith("/"):
+            return at
+        if name in _NESTING:
+            if name not in self.ends:
+                self.ends[name] = self._nested_ends(name)
+            if at in self.ends[name]:
+                return self.ends[name][at]
+        elif name not in self.endless:
+            if m := _RAW_END[name].search(self.html, at):
+                return m.end()
+            self.endless.add(name)
+        block = _BLOCK_TAG.search(self.html, at)
+        until = block.start() if block else len(self.html)
+        if parent:
+            if m := re.compile(rf"</{re.escape(parent)}(?=[\s/>])", re.I).search(self.html, at, until):
+                return m.start()
+        return until
 
 
 def events(html: str) -> Iterator[tuple[str, object]]:
@@ -130,14 +163,16 @@ def events(html: str) -> Iterator[tuple[str, object]]:
     around them, or, for paragraphs and entries, by the next of their kind.
     """
     stack: list[_Element] = []
+    left_out = _LeftOut(html)
     place = 0
     while m := _TOKEN.match(html, place):
         place = m.end()
         if m["text"] is not None:
             yield "text", m["text"]
             continue
-        if m["nested"] is not None:
-            place = _past_nested(html, place, m["nested"].lower(), m["inner"])
+        if m["left"] is not None:
+            parent = stack[-1].name if stack else None
+            place = left_out.past(place, m["left"].lower(), m["inner"], parent)
             continue
         if m["name"] is None:
             continue

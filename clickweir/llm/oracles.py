@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from clickweir.llm.quality import COMMON
-from clickweir.llm.secrets import BASE_RULES, RULES, Rule
+from clickweir.llm.secrets import BASE_RULES, RULES, RUN_START, Rule
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -178,7 +178,8 @@ from firsts
 
 
 def _matches(rank: int, rule: Rule) -> str:
-    pattern = rule.pattern.replace("'", "''")
+    # The leftmost match starts its run by itself, and DuckDB has no look-behind.
+    pattern = rule.pattern.removeprefix(RUN_START).replace("'", "''")
     return f"""
   select doc_id, {rank} as rank, '{rule.kind}' as kind, {rule.at_least} as least,
     unnest(range(1, len(f) + 1)) as i, f, g, pieces

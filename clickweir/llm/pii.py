@@ -38,8 +38,8 @@ _DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])*")
 _DIAL = re.compile(r"[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 _SSN = re.compile(r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
-_LOGIN = re.compile(r"[^\s/:@]{1,64}:[^\s/@]{1,64}@[A-Za-z0-9.-]+")
-_HANDLE = re.compile(r"[A-Za-z0-9_]{2,32}")
+_LOGIN = re.compile(r"[^\s/:@]+:[^\s/@]+@[A-Za-z0-9.-]+")
+_HANDLE = re.compile(r"[A-Za-z0-9_]{2,}")
 
 # Schemes that can carry a login, and cues before an identifier.
 _SCHEMES = ("http://", "https://", "ftp://", "ssh://")
@@ -84,9 +84,9 @@ def _iban_good(text: str) -> bool:
 
 
 def _after_cue(text: str, at: int) -> int:
-    """Where the value after a cue begins: past a few separators."""
+    """Where the value after a cue begins: past all separators."""
     end = at
-    while end < len(text) and end - at < 4 and text[end] in " :#=\t":
+    while end < len(text) and text[end] in " :#=\t":
         end += 1
     return end
 

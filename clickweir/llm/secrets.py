@@ -13,6 +13,9 @@ pattern: the pieces between the matches and the matches themselves add up to
 the text. All of it is built-in functions; text is moved only to bring the
 copies of a blob together, and each map task first merges its own copies.
 
+Patterns have no greatest length: a long value ends where its own delimiters say.
+Two runs that scan the same blob at once both append it; readers take one of the rows.
+
 Defined results: a null text is an empty one; repeated rows and equal texts get
 equal findings; null paths are kept; an empty table gives an empty result and
 leaves the ledger as it is; other columns are never read.
@@ -50,15 +53,22 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
     Rule("hex", r"[0-9a-f]{24,}", 0, 24),
 )
+RUN_START = "(?<![a-z0-9+.-])"
 MORE_RULES = (
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 1),
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", 0, 1),
     Rule("hub_token", r"gh[oprsu]_[A-Za-z0-9]{36,}", 0, 40),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 15),
-    Rule("login_url", r"[a-z][a-z0-9+.-]{1,20}://[^\s:/@]{1,64}:[^\s:/@]{1,64}@", 0, 1),
+    # A scheme is taken from the start of its run, so that a long run is tried once.
+    Rule(
+        "login_url",
+        rf"{RUN_START}[0-9+.-]*[a-z][a-z0-9+.-]*://[^\x09-\x0D\x20:/@]*:[^\x09-\x0D\x20:/@]+@",
+        0,
+        1,
+    ),
 )
 RULES = BASE_RULES + MORE_RULES
-RULE_VERSION = "2"
+RULE_VERSION = "3"
 
 FINDING = "struct<start:bigint,rank:int,end:bigint,kind:string>"
 LEDGER = f"rule_version string, blob string, findings array<{FINDING}>"
@@ -161,7 +171,8 @@ def findings_by_path(
     """
     paths = address(versions, text, keep)
     found = read_ledger(versions.sparkSession, ledger_path, rule_version)
-    found = found.where(F.size("findings") > 0)
+    # Stored, so that the join below reads both sides alike and can split a hot blob.
+    found = materialise(found.where(F.size("findings") > 0).dropDuplicates(["blob"]))
     nothing = F.array().cast(f"array<{FINDING}>")
     return paths.join(found, "blob", "left").withColumn(
         "findings", F.coalesce("findings", nothing)

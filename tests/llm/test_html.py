@@ -71,6 +71,20 @@ def test_elements_left_out_end_where_they_end(odd):
     assert html.main_text(page(f"<article><p>one</p>{odd}<p>two</p></article>"), "article") == "one\ntwo"
 
 
+@pytest.mark.parametrize("name", [*html._RAW, *html._NESTED])
+def test_elements_without_an_end_keep_the_rest(name):
+    for odd in (f"<{name}>no", f"<{name} a='1'><option>no</option>", f"<{name}><{name}>no"):
+        text = page(f"<article><p>one</p>{odd}<p>two</p></article>")
+        assert html.main_text(text, "article") == "one\ntwo"
+        text = page(f"<article><p>one <b>{odd}</b> two</p><p>three</p></article>")
+        assert html.main_text(text, "article") == "one two\nthree"
+
+
+def test_very_many_elements_without_an_end():
+    text = "<article>" + "<p>x</p><svg><title><select>no" * 20_000 + "<p>y</p></article>"
+    assert html.main_text(page(text), "article").count("\n") == 20_000
+
+
 def test_custom_elements_are_no_boilerplate():
     text = "<article><p>one</p><form-note>two</form-note><p>three</p></article>"
     assert html.main_text(page(text), "article").split("\n") == ["one", "two", "three"]

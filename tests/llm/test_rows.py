@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from clickweir.llm import pii, quality, queries, secrets, tokens, warc
-from clickweir.workspace import shared_dir
+from clickweir.workspace import materialise, shared_dir
 
 
 def bag(frame):
@@ -120,6 +120,37 @@ def test_more_secret_kinds(spark):
     assert kinds["login_url"] == "ftp://me:pass1@"
 
 
+def test_secrets_of_any_length(spark):
+    word = "p4" * 100
+    texts = {
+        1: f"https://{word}:{word}@host",
+        2: f"{'x+' * 40}y://u:{word}@host -redis://:{word}@host",
+        3: f"-----BEGIN {'VERY ' * 30}PRIVATE KEY-----",
+        4: "ab.1-" * 200_000,
+    }
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    ledger = shared_dir(spark, "ledger")
+    secrets.scan_unseen(frame, ledger)
+    # Two runs at once: the same blobs twice in the ledger.
+    ledger_rows = secrets.read_ledger(spark, ledger)
+    again = materialise(ledger_rows.select(F.lit(secrets.RULE_VERSION).alias("rule_version"), "blob", "findings"))
+    again.write.mode("append").parquet(ledger)
+    rows = secrets.findings_by_path(frame, ledger, ["doc_id"]).collect()
+    taken = {r.doc_id: [texts[r.doc_id][f.start : f.end] for f in r.findings] for r in rows}
+    assert len(rows) == 4
+    assert taken[1] == [f"https://{word}:{word}@"]
+    assert taken[2] == [f"{'x+' * 40}y://u:{word}@", f"-redis://:{word}@"]
+    assert taken[3] == [texts[3]]
+    assert taken[4] == []
+
+
+def test_secrets_clashing_names(clashing):
+    ledger = shared_dir(clashing.sparkSession, "ledger")
+    secrets.scan_unseen(clashing, ledger)
+    found = secrets.findings_by_path(clashing, ledger, ["doc_id"])
+    assert found.count() == clashing.count()
+
+
 def test_secrets_empty(spark, empty):
     ledger = shared_dir(spark, "ledger")
     secrets.scan_unseen(empty, ledger)
@@ -152,6 +183,21 @@ def test_more_personal_kinds():
     assert wrong["iban"] == []
 
 
+def test_personal_values_of_any_length():
+    word, gap = "p4" * 100, " :#=\t" * 4
+    text = f"IBAN{gap}DE89 3704 0044 0532 0130 00, SSN{gap}078-05-1120, http://{word}:{word}@host.org, user @{word}"
+    spans = pii.find_spans(text, pii._anchors())
+    taken = {k: [text[a:b] for a, b in v] for k, v in spans.items()}
+    assert taken["iban"] == ["DE89 3704 0044 0532 0130 00"]
+    assert taken["ssn"] == ["078-05-1120"]
+    assert taken["login"] == [f"{word}:{word}@host.org"]
+    assert taken["handle"] == [word]
+
+
+def test_personal_data_clashing_names(clashing):
+    assert pii.personal_data(clashing).count() == clashing.count()
+
+
 def test_token_counts(docs, rows, empty):
     pieces = tokens.load_pieces(queries.VOCABULARY)
     per_byte = tokens.byte_score(pieces)
