@@ -188,7 +188,7 @@ def eval_metrics(spark: SparkSession, d: str) -> DataFrame:
 
 def threshold_curve(spark: SparkSession, d: str) -> DataFrame:
     rows = labelled(spark, d).select("n_chars", "label")
-    return rounded(evaluate.threshold_curve(rows, "n_chars", bins=200), 8)
+    return rounded(evaluate.threshold_curve(rows, "n_chars", bins=200, fold=True), 8)
 
 
 def threshold_nulls(spark: SparkSession, d: str) -> DataFrame:

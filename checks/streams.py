@@ -240,6 +240,21 @@ def all_outputs(spark: SparkSession, d: str) -> DataFrame:
     return united
 
 
+def shared_read(spark: SparkSession, d: str) -> DataFrame:
+    """The outputs of ``all_outputs``, from one read of the source."""
+    base = shared_dir(spark, "shared-read")
+    sinks = plan.shared_sinks(_twice(messages(spark, d)), base, f"{base}/checkpoint", delay="2 hours")
+    finish(start_all(sinks))
+    read = [
+        spark.read.format(fmt)
+        .schema("event_id string")
+        .load(f"{base}/events/{name}")
+        .select(F.lit(name).alias("output"))
+        for name, fmt in (("details", "parquet"), ("alerts", "json"), ("rejected", "json"))
+    ]
+    return read[0].union(read[1]).union(read[2]).groupBy("output").agg(F.count("*").alias("n"))
+
+
 def one_read(spark: SparkSession, d: str) -> DataFrame:
     """Two outputs from one read of the source."""
     base = shared_dir(spark, "fan-out")
@@ -403,6 +418,17 @@ def closed(end: str, delay: str) -> str:
     )
 
 
+_OUTPUTS = (
+    CLEAN
+    + """, doubled as (
+           select *, case when user_id % 2 = 1 then 2 else 1 end as copies from tidy)
+         select 'details' as output, count(*) as n from clean where event_type is not null
+         union all select 'alerts', count(*) from clean
+           where event_type is not null and amount > 10000
+         union all select 'rejected', sum(copies)::bigint from doubled
+           where event_id is null or user_id is null or event_type is null"""
+)
+
 CHECKS = {
     "stream_sliding_window": (
         sliding,
@@ -470,15 +496,9 @@ CHECKS = {
     ),
     "stream_all_outputs": (
         all_outputs,
-        CLEAN
-        + """, doubled as (
-               select *, case when user_id % 2 = 1 then 2 else 1 end as copies from tidy)
-             select 'details' as output, count(*) as n from clean where event_type is not null
-             union all select 'alerts', count(*) from clean
-               where event_type is not null and amount > 10000
-             union all select 'rejected', sum(copies)::bigint from doubled
-               where event_id is null or user_id is null or event_type is null""",
+        _OUTPUTS,
     ),
+    "stream_shared_read": (shared_read, _OUTPUTS),
     "stream_fan_out": (
         one_read,
         TIDY

@@ -79,6 +79,7 @@ def threshold_curve(
     bins: int = 1000,
     low: float | None = None,
     high: float | None = None,
+    fold: bool = False,
 ) -> DataFrame:
     """Precision and recall at each threshold ``low + i * (high - low) / bins``.
 
@@ -87,9 +88,24 @@ def threshold_curve(
     at most ``bins`` rows and are exact at every threshold. A score below
     ``low`` or null is not above any threshold: it counts in the recall's
     total only. One above ``high`` is above all of them.
+
+    ``fold`` is for predictions that cost much to make and have few distinct scores:
+    they are made once and folded to one row per score, from which both the ends and
+    the bins come. Otherwise ``pred`` is read twice where an end is not given, and no
+    row is shuffled before it is in its bin.
     """
-    value = F.col(score).cast("double")
-    ends = pred.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))).scalar()
+    value = F.col("score")
+    rows = pred.select(
+        F.col(score).cast("double").alias("score"),
+        F.lit(1).cast("long").alias("rows"),
+        F.col(label).cast("long").alias("hits"),
+    )
+    totals = [F.sum("rows").alias("rows"), F.sum("hits").alias("hits")]
+    if fold:
+        rows = rows.groupBy("score").agg(*totals)
+    # With the sums in it, it is made from the same shuffled rows as the bins are.
+    edges = [F.min(value).alias("low"), F.max(value).alias("high"), *(totals if fold else [])]
+    ends = rows.agg(F.struct(*edges)).scalar()
     begin = ends["low"] if low is None else F.lit(float(low))
     end = ends["high"] if high is None else F.lit(float(high))
 
@@ -103,9 +119,7 @@ def threshold_curve(
     below = (lower(guess) > value).cast("int")
     inside = F.when(end > begin, guess + above - below).otherwise(F.lit(bins - 1))
     bin_of = F.when(value >= begin, F.least(F.lit(bins - 1), inside)).cast("int")
-    counted = pred.groupBy(bin_of.alias("bin")).agg(
-        F.count("*").alias("rows"), F.sum(F.col(label).cast("long")).alias("hits")
-    )
+    counted = rows.groupBy(bin_of.alias("bin")).agg(*totals)
     down = Window.orderBy(F.col("bin").desc_nulls_last())
     whole = Window.partitionBy()
     curve = counted.select(

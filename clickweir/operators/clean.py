@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickweir import schema
@@ -44,6 +44,27 @@ def dedup_stream(df: DataFrame, key: Sequence[str], ts: str, delay: str) -> Data
     return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(key))
 
 
+def dedup_parsed(
+    df: DataFrame, malformed: Column, key: Sequence[str], ts: str, delay: str
+) -> DataFrame:
+    """``dedup_stream`` that lets every ``malformed`` row through, in the same pass.
+
+    Such a row gets a key of its own and no event time: it moves no watermark, is
+    never late, and its state goes with the next batch. A re-run task may draw
+    another key, which changes nothing that leaves this function.
+    """
+    own = F.when(malformed, F.uuid())
+    marked = df.withColumns(
+        {
+            "_own": own,
+            "_at": F.when(~malformed, F.col(ts)),
+            **{f"_key_{i}": F.when(~malformed, F.col(name)) for i, name in enumerate(key)},
+        }
+    )
+    once = dedup_stream(marked, ["_own", *[f"_key_{i}" for i in range(len(key))]], "_at", delay)
+    return once.select(*df.columns)
+
+
 def clean_events(
     df: DataFrame,
     *,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -13,8 +13,8 @@ from pyspark.sql.streaming import StreamingQuery
 from clickweir import schema
 from clickweir.ml.scoring import reply, required_columns
 from clickweir.operators import alerts, clean, windows
-from clickweir.sources.stream import parse_envelope, split_malformed
-from clickweir.streaming.run import Sink, start_all, upsert_batch
+from clickweir.sources.stream import is_malformed, parse_envelope, split_malformed
+from clickweir.streaming.run import Sink, fan_out, start_all, upsert_batch
 
 
 def event_sinks(
@@ -56,6 +56,58 @@ def event_sinks(
     ]
 
 
+def shared_sinks(
+    messages: DataFrame,
+    target: str,
+    checkpoint: str,
+    *,
+    fmt: str = "parquet",
+    alert_threshold: float = 10000,
+    delay: str = "10 minutes",
+    trigger: str | None = None,
+    aggregate_trigger: str | None = None,
+) -> list[Sink]:
+    """The outputs of ``event_sinks`` from two reads of the source instead of four.
+
+    Details, alerts and rejected messages come from one stream that reads, parses and
+    drops repeated messages once; they have one trigger and one folder per batch.
+    Window aggregates stay a stream of their own.
+    """
+    parsed = parse_envelope(messages, keep_malformed=True)
+    good, _ = split_malformed(parsed)
+    good = clean.dedup_stream(good, ["event_id"], "timestamp", delay)
+    folder = f"{checkpoint}/events"
+
+    def part(take: int, shape: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
+        return lambda batch: shape(split_malformed(batch)[take])
+
+    outputs = {
+        "details": part(0, clean.enrich_stream),
+        "alerts": part(0, lambda df: alerts.high_value(df, alert_threshold)),
+        "rejected": part(1, lambda df: df),
+    }
+    write = fan_out(
+        outputs,
+        f"{target}/events",
+        folder,
+        fmt,
+        formats={"alerts": "json", "rejected": "json"},
+        partition_by={"details": ("event_date", "event_hour")},
+    )
+    once = clean.dedup_parsed(parsed, is_malformed(), ["event_id"], "timestamp", delay)
+    return [
+        Sink(name="events", df=once, checkpoint=folder, batch=write, trigger=trigger),
+        Sink(
+            name="aggregations",
+            df=windows.window_agg(good, delay=None),
+            fmt=fmt,
+            path=f"{target}/aggregations",
+            checkpoint=f"{checkpoint}/aggregations",
+            trigger=aggregate_trigger,
+        ),
+    ]
+
+
 # Fixed trigger intervals of the running service.
 SERVICE_TRIGGERS = {
     "aggregations": "30 seconds",

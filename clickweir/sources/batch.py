@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -100,15 +102,21 @@ def read_training(spark: SparkSession, train: str, test: str, fallback: str) ->
     return read_permissive(spark, fallback)
 
 
-def probe_paths(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """One row per path: readable, number of columns, has data, and the error if any."""
-    rows = []
-    for path in paths:
+def probe_paths(spark: SparkSession, paths: Sequence[str], at_once: int = 16) -> DataFrame:
+    """One row per path: readable, number of columns, has data, and the error if any.
+
+    Several paths are probed at a time (``at_once``); each reads a footer and at most one row.
+    """
+
+    def probe(path: str) -> tuple:
         try:
             df = spark.read.parquet(path)
-            rows.append((path, True, len(df.columns), not df.limit(1).isEmpty(), None))
+            return path, True, len(df.columns), not df.limit(1).isEmpty(), None
         except Exception as error:
-            rows.append((path, False, None, None, str(error).splitlines()[0]))
+            return path, False, None, None, str(error).splitlines()[0]
+
+    with ThreadPoolExecutor(at_once) as pool:
+        rows = list(pool.map(inheritable_thread_target(spark)(probe), paths))
     return spark.createDataFrame(
         rows,
         "path string, readable boolean, column_count int, has_data boolean, error string",

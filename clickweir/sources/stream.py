@@ -106,9 +106,14 @@ def parse_envelope(
     return parsed.select(*columns, "_empty")
 
 
+def is_malformed() -> Column:
+    """Whether a row of ``parse_envelope(keep_malformed=True)`` lacks a value or does not fit."""
+    return F.col(CORRUPT).isNotNull() | F.col("_empty")
+
+
 def split_malformed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Good rows, and the rest: values that are missing or do not fit the schema."""
-    bad = F.col(CORRUPT).isNotNull() | F.col("_empty")
+    bad = is_malformed()
     good = df.where(~bad).drop(CORRUPT, "_empty")
     return good, df.where(bad).withColumnRenamed(CORRUPT, "raw_value").drop("_empty")
 

@@ -160,21 +160,30 @@ def fan_out(
     base: str,
     checkpoint: str,
     fmt: str = "parquet",
+    *,
+    formats: Mapping[str, str] | None = None,
+    partition_by: Mapping[str, Sequence[str]] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A micro-batch function that reads the source once and writes several outputs.
 
     Each output replaces its own ``batch_id`` folder, so a repeated batch
     leaves the same files. ``base`` belongs to the stream of ``checkpoint``.
+    ``formats`` and ``partition_by`` are by output, where they are not the default.
     """
+    formats, partition_by = formats or {}, partition_by or {}
 
     def write(batch: DataFrame, batch_id: int) -> None:
         claim(batch.sparkSession, base, checkpoint)
         held = batch.persist()
         try:
             for name, shape in outputs.items():
-                shape(held).write.mode("overwrite").format(fmt).save(
-                    f"{base}/{name}/batch_id={batch_id}"
-                )
+                kind = formats.get(name, fmt)
+                writer = shape(held).write.mode("overwrite").format(kind)
+                if kind == "json":
+                    writer = writer.option("timestampFormat", ISO_MICROS)
+                if by := partition_by.get(name):
+                    writer = writer.partitionBy(*by)
+                writer.save(f"{base}/{name}/batch_id={batch_id}")
         finally:
             held.unpersist()
 

@@ -147,6 +147,21 @@ def test_threshold_curve_counts_no_null_or_low_score_as_positive(spark):
     assert (whole[0]["threshold"], whole[0]["predicted_positive"]) == (-3.0, 3)
 
 
+def test_threshold_curve_folds_scores_in_one_scan(spark, tmp_path):
+    path = str(tmp_path / "scores")
+    spark.range(1000).select(
+        F.when(F.col("id") % 11 != 0, F.col("id") % 37).alias("s"), (F.col("id") % 2).alias("label")
+    ).write.parquet(path)
+    df = spark.read.parquet(path)
+    two, one = (
+        evaluate.threshold_curve(df, "s", bins=10, fold=fold).orderBy("threshold")
+        for fold in (False, True)
+    )
+    assert one.collect() == two.collect()
+    final = one._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in final or final.count("ReusedSubquery") > 0
+
+
 def test_scaling_keeps_rows_with_a_null(spark):
     df = spark.createDataFrame([(1.0, 2.0), (3.0, None), (5.0, 4.0)], "a double, b double")
     got = [r["scaled"] for r in features.scale(df, ["a", "b"]).orderBy("a").collect()]

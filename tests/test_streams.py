@@ -207,6 +207,23 @@ def test_all_outputs_have_their_own_checkpoint(spark, feed, tmp_path):
     assert len({s.checkpoint for s in sinks}) == len(sinks)
 
 
+def test_shared_read_reads_once_and_keeps_every_malformed_message(spark, feed, tmp_path):
+    feed(1, [("a", 0, "VIEW", 20000.0), ("a", 0, "VIEW", 20000.0), ("b", 1, None, 1.0)])
+    feed(2, [("c", 300, "VIEW", 1.0), ("b", 1, None, 1.0), ("b", 1, None, 1.0)])
+    feed(3, [("a", 0, "VIEW", 20000.0), ("d", 301, "VIEW", 1.0), ("b", 1, None, 1.0)])
+    out = str(tmp_path / "o")
+    sinks = plan.shared_sinks(feed.stream(), out, str(tmp_path / "k"))
+    assert [s.name for s in sinks] == ["events", "aggregations"]
+    query = start(sinks[0])
+    assert wait_all([query], 300)
+    assert sum(p.numInputRows for p in query.recentProgress) == 9
+    details = spark.read.parquet(f"{out}/events/details")
+    # The late copy of "a" is dropped by the watermark, the malformed ones never are.
+    assert sorted(r["event_id"] for r in details.collect()) == ["a", "c", "d"]
+    assert spark.read.json(f"{out}/events/rejected").count() == 4
+    assert spark.read.json(f"{out}/events/alerts").count() == 1
+
+
 def test_timeout_stops_a_running_service(spark, feed, tmp_path):
     feed(1, [("a", 0, "VIEW", 1.0)])
     query = start(
