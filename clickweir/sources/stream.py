@@ -86,9 +86,14 @@ def parse_envelope(
     if keep_malformed:
         schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
         options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    data = F.from_json(text, schema, options)
+    if keep_malformed:
+        # Filters on the fields do not move below a generator, where each of them
+        # would parse the message again.
+        data = F.explode(F.array(data))
     parsed = df.select(
         F.col("key").cast("string").alias(key_name),
-        F.from_json(text, schema, options).alias("data"),
+        data.alias("data"),
         text.alias("_text"),
         text.isNull().alias("_empty"),
         F.col("timestamp").alias(time_name),

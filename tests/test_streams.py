@@ -107,6 +107,13 @@ def test_malformed_and_empty_values_are_set_aside(spark):
     assert got == {k: v for k, v in rows if k != "1"}
 
 
+def test_messages_are_parsed_once_whatever_is_asked_of_the_fields(spark, plan):
+    good, bad = split_malformed(parse_envelope(to_envelope(spark.range(3), "id", "id"), keep_malformed=True))
+    for part in (good.where("user_id > 1"), bad):
+        tree = plan(part)
+        assert tree.count("from_json") == 1, tree
+
+
 def test_restart_adds_nothing_and_resumes(spark, feed, tmp_path):
     feed(1, [("a", 0, "VIEW", 20000.0), ("b", 1, "VIEW", 5.0)])
     out = str(tmp_path / "out")
@@ -224,6 +231,18 @@ def test_shared_read_reads_once_and_keeps_every_malformed_message(spark, feed, t
     assert spark.read.json(f"{out}/events/alerts").count() == 1
 
 
+def test_shared_read_writes_few_files_to_a_folder(spark, feed, tmp_path):
+    feed(1, [(str(i), i % 90, "VIEW", 1.0) for i in range(200)])
+    out = str(tmp_path / "o")
+    query = start(plan.shared_sinks(feed.stream(), out, str(tmp_path / "k"))[0])
+    assert wait_all([query], 300)
+    details = spark.read.parquet(f"{out}/events/details")
+    assert details.count() == 200
+    files = details.groupBy("event_date", "event_hour").agg(F.countDistinct("_metadata.file_path"))
+    # One file per task of the stream and hour before.
+    assert [r[2] for r in files.collect()] == [1, 1]
+
+
 def test_timeout_stops_a_running_service(spark, feed, tmp_path):
     feed(1, [("a", 0, "VIEW", 1.0)])
     query = start(
