@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline
@@ -32,6 +33,11 @@ from clickweir.operators.quality import column_profile
 from clickweir.workspace import materialise
 
 
+# Bytes of text a task takes whose words are counted: the counts of n-grams take some
+# 45 times as much memory.
+TASK_TEXT = 16 * 1024 * 1024
+
+
 def column_roles(
     df: DataFrame, *, max_categories: int = 50, skip: Sequence[str] = ("label", "id")
 ) -> DataFrame:
@@ -173,9 +179,12 @@ def terms(df: DataFrame, key: str, text: str, n: int = 1) -> DataFrame:
 
     The texts are dealt out by key before they are split. Spark then counts the
     terms of a key where its text is, so the texts move once and the terms,
-    which are far more bytes, do not move at all.
+    which are far more bytes, do not move at all. The number of tasks follows from
+    the bytes of all texts, so what one of them holds does not grow with the table.
     """
-    dealt = df.select(key, text).repartition(key)
+    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    tasks = max(math.ceil(size / TASK_TEXT), df.sparkSession.sparkContext.defaultParallelism)
+    dealt = df.select(key, text).repartition(tasks, key)
     listed = dealt.select(key, words(F.col(text)).alias("_words"))
     found = F.col("_words") if n == 1 else ngrams(F.col("_words"), n)
     return (

@@ -193,6 +193,12 @@ def test_texts_are_dealt_out_once(spark, plan):
     assert tree.rfind("Exchange") > tree.rfind("Generate")
 
 
+def test_tasks_that_count_terms_follow_from_the_bytes(spark, monkeypatch):
+    df = spark.range(64).select("id", F.repeat(F.lit("ab cd "), 100).alias("text"))
+    monkeypatch.setattr(features, "TASK_TEXT", 600)
+    assert features.terms(df, "id", "text", 2).rdd.getNumPartitions() == 64
+
+
 def test_train_save_load_score(spark, rows, tmp_path):
     path = str(tmp_path / "models")
     grids = {"logistic": {"regParam": [0.01]}, "random_forest": {"numTrees": [5]}}
