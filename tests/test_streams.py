@@ -243,6 +243,18 @@ def test_shared_read_writes_few_files_to_a_folder(spark, feed, tmp_path):
     assert [r[2] for r in files.collect()] == [1, 1]
 
 
+def test_all_outputs_write_few_files_to_a_folder(spark, feed, tmp_path):
+    feed(1, [(str(i), i % 90, "VIEW", 1.0) for i in range(400)])
+    sinks = plan.event_sinks(feed.stream(), str(tmp_path / "o"), str(tmp_path / "k"))
+    [sink] = [s for s in sinks if s.name == "details"]
+    run(sink)
+    details = spark.read.parquet(sink.path)
+    assert details.count() == 400
+    files = details.groupBy("event_date", "event_hour").agg(F.countDistinct("_metadata.file_path"))
+    # One file per task of the stream (8) and hour before.
+    assert all(r[2] <= sink.spread for r in files.collect())
+
+
 def test_timeout_stops_a_running_service(spark, feed, tmp_path):
     feed(1, [("a", 0, "VIEW", 1.0)])
     query = start(
