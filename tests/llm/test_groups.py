@@ -299,3 +299,76 @@ def test_dissimilar_lines_of_one_band_are_not_paired(spark):
     texts = [frame + "".join(draw.choice("abcdefghij ") for _ in range(40)) for _ in range(2000)]
     assert len(_pairs_of_second_pass(spark, texts)) < 2000
 
+
+
+def _stages(frame, name):
+    """How often ``name`` stands in the plan that runs, one that is reused not counted."""
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return sum(name in line and "Reused" not in line for line in plan.splitlines())
+
+
+@pytest.mark.parametrize("native", [False, True])
+def test_shingles_of_the_second_pass_are_made_and_moved_once(spark, tmp_path, native):
+    texts = [f"line {i % 7} of the table has words of its own {i}" for i in range(50)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, line string")
+    rows.write.parquet(str(tmp_path / "lines"))
+    table = spark.read.parquet(str(tmp_path / "lines"))
+    prefixes = lines._rare_shingles(table.select("id"), table, native=native)
+    if not native:
+        assert _stages(prefixes, "MapInArrow") == 1
+    assert _stages(prefixes, "Exchange hashpartitioning(h#") == 1
+    assert _stages(prefixes, "collect_list(struct") == 0
+
+
+def test_pairs_of_lines_leave_no_copies_of_lines(spark, tmp_path, monkeypatch):
+    import os
+
+    from clickweir import workspace
+
+    monkeypatch.setattr(workspace, "shared_base", lambda spark: str(tmp_path))
+    draw = random.Random(3)
+    base = ["".join(draw.choice("abcdefghij ") for _ in range(200)) for _ in range(20)]
+    texts = [x[:k] + "#" + x[k:] for x in base for k in (20, 60, 100, 180)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, line string")
+    parts = lines.line_components(rows)
+    assert parts.count() == len(texts)
+    left = [
+        os.path.join(d, f) for d, _, files in os.walk(tmp_path) for f in files if f.startswith("part-")
+    ]
+    columns = {c for f in left for c in spark.read.parquet(f).columns}
+    assert not columns & {"line", "line_u", "line_v", "component_a", "row"}
+
+
+TEXTS_TO_CUT = [
+    "abc",
+    "abcdefgh",
+    "aaaaaaaaaaaaaaaaaaaa",
+    "nul \x00 and tab \t are ASCII too",
+    "d\u00e9j\u00e0 vu, d\u00e9j\u00e0 vu, d\u00e9j\u00e0 vu",
+    "\u4e2d\u6587",
+    "\u4e2d\u6587 and \U0001f600 in one longer line \U0001f600",
+    "\u00e9" * 30,
+]
+
+
+def test_native_hashes_are_those_of_the_shingles(spark):
+    frame = spark.createDataFrame(list(enumerate(TEXTS_TO_CUT)), "id long, line string")
+    placed = lines._cut_up(frame).select("id", "bytes", "parts", F.explode("places").alias("place"))
+    got = Counter(tuple(r) for r in placed.select("id", lines._hash_at(F.col("place"))).collect())
+    every = frame.select("id", F.explode(lines._every_shingle(F.col("line"))).alias("s"))
+    want = every.select("id", F.xxhash64("s"))
+    assert got == Counter(tuple(r) for r in want.collect())
+    for i, t in enumerate(TEXTS_TO_CUT):
+        if max(t) < "\U00010000":
+            assert sum(n for (k, _), n in got.items() if k == i) == max(len(t) - lines.SHINGLE + 1, 1)
+
+
+def test_packed_shingles_are_the_shingles():
+    for a in TEXTS_TO_CUT:
+        packed, made = lines._packed(a), lines.shingle_set(a)
+        assert (packed is None) == (len(a) < lines.SHINGLE or max(a) > "\xff")
+        for b in TEXTS_TO_CUT:
+            other = lines._packed(b)
+            if packed is not None and other is not None:
+                assert len(packed) == len(made)
+                assert lines._common(packed, other) == len(made & lines.shingle_set(b))
