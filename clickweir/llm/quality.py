@@ -186,7 +186,8 @@ def judge(
 
     ``keep`` names columns of ``docs`` that come along in ``kept_columns``.
     """
-    counted = materialise(base_counts(docs, doc_id, text, lang, keep))
+    # It stays while the result is read, whole texts with it if they are kept.
+    counted = materialise(base_counts(docs, doc_id, text, lang, keep), compression="zstd")
     refs = F.broadcast(references(counted))
     joined = counted.join(refs, "lang", "left")
     chars = F.when(
