@@ -301,6 +301,52 @@ def test_dissimilar_lines_of_one_band_are_not_paired(spark):
 
 
 
+def test_shingles_of_the_same_lines_are_paired_once(spark):
+    draw = random.Random(5)
+    body = " ".join("".join(draw.choice("abcdefghij") for _ in range(5)) for _ in range(50))
+    texts = [f"{body} {i:03d}" for i in range(40)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, line string")
+    prefixes = lines._rare_shingles(rows.select("id"), rows)
+    whole = [r for r in prefixes.groupBy("h").count().collect() if r["count"] == len(texts)]
+    assert len(whole) == 1  # all shingles of the body, which stand in the same lines
+    assert _pairs_of_second_pass(spark, texts) == {
+        (v, u) for u, v in combinations(range(len(texts)), 2)
+    }
+
+
+def test_near_copies_are_mostly_linked_before_all_are_paired(spark, monkeypatch):
+    draw = random.Random(6)
+
+    def word():
+        return "".join(draw.choice("abcdefghij") for _ in range(5))
+
+    base = [word() for _ in range(60)]
+    texts = []
+    for _ in range(300):
+        changed = list(base)
+        for k in draw.sample(range(60), draw.randrange(1, 4)):
+            changed[k] = word()
+        texts.append(" ".join(changed))
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, line string")
+    made, pairs = [], lines._pairs
+
+    def counted(joined):
+        made.append(joined.where(lines._may_be_similar()).count())
+        return pairs(joined)
+
+    monkeypatch.setattr(lines, "_pairs", counted)
+    got = {r.node: r.component for r in lines.line_components(rows).collect()}
+    sets = [lines.shingle_set(t) for t in texts]
+    links = [
+        (u, v)
+        for u, v in combinations(range(len(texts)), 2)
+        if 5 * len(sets[u] & sets[v]) >= 4 * len(sets[u] | sets[v])
+    ]
+    assert len(links) > 5000
+    assert all(got[u] == got[v] for u, v in links)
+    assert made[1] < len(links) / 2
+
+
 def _stages(frame, name):
     """How often ``name`` stands in the plan that runs, one that is reused not counted."""
     plan = frame._jdf.queryExecution().executedPlan().toString()
