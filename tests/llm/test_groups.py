@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from clickweir.llm import contamination, lines, mixing, simhash
 from clickweir.llm.components import connected_components
 
+SF = "/root/testdata/sf0.001"
+
 
 def test_components_of_random_graphs(spark):
     draw = random.Random(3)
@@ -406,3 +408,41 @@ def test_packed_shingles_are_the_shingles():
             if packed is not None and other is not None:
                 assert len(packed) == len(made)
                 assert lines._common(packed, other) == len(made & lines.shingle_set(b))
+
+
+def test_hashes_in_built_in_functions_are_those_of_all_shingles(spark):
+    frame = spark.createDataFrame([(x,) for x in TEXTS_TO_CUT], "line string")
+    got = {r.line: r.hs for r in frame.select("line", lines._hashes(F.col("line")).alias("hs")).collect()}
+    for line in TEXTS_TO_CUT:
+        cut = spark.createDataFrame([(x,) for x in lines.shingle_set(line)], "s string")
+        want = [r.h for r in cut.select(F.xxhash64("s").alias("h")).collect()]
+        assert sorted(got[line]) == sorted(want)
+
+
+def test_only_wanted_lines_are_cut_in_the_second_pass(spark, tmp_path):
+    texts = [f"line {i % 7} of the table has words of its own {i}" for i in range(50)]
+    spark.createDataFrame(list(enumerate(texts)), "id long, line string").write.parquet(
+        str(tmp_path / "lines")
+    )
+    table = spark.read.parquet(str(tmp_path / "lines"))
+    prefixes = lines._rare_shingles(table.select("id").where("id < 5"), table, native=True)
+    plan = prefixes._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Filter" in x and "xxhash64" in x]
+
+
+def test_lines_of_small_open_bands_are_compared_within_their_band(spark):
+    rows = [(b, n, i, c) for b, n in ((1, 4), (2, lines.FEW + 1)) for i, c in ((1, 1), (2, 1), (3, 3), (4, 4))]
+    opened = spark.createDataFrame(rows, "band long, n long, id long, component long")
+    got = {(r.u, r.v) for r in lines._within(opened.where("band = 1")).collect()}
+    assert got == {(3, 1), (3, 2), (4, 1), (4, 2), (4, 3)}
+    assert lines._within(opened.where("band = 2")).count() == 0
+
+
+def test_lines_query_runs_no_python(spark, monkeypatch):
+    from clickweir.llm import queries
+
+    def refused(*_):
+        raise AssertionError("the query runs Python on the executors")
+
+    monkeypatch.setattr(type(spark.range(0)), "mapInArrow", refused)
+    assert queries.op5_lines(spark, SF).count() > 0
