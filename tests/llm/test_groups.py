@@ -446,3 +446,30 @@ def test_lines_query_runs_no_python(spark, monkeypatch):
 
     monkeypatch.setattr(type(spark.range(0)), "mapInArrow", refused)
     assert queries.op5_lines(spark, SF).count() > 0
+
+
+def test_lines_and_bands_are_made_in_slices(spark, monkeypatch):
+    draw = random.Random(5)
+    base = ["".join(draw.choice("abcdefghij ") for _ in range(120)).strip() for _ in range(12)]
+    texts = ["\n".join(x[:k] + "#" + x[k:] for x in base[i % 7 :]) for i, k in enumerate((9, 40, 9, 77))]
+    rows = [*enumerate(texts), (0, texts[0]), (None, texts[1]), (None, texts[1]), (9, None), (8, " \n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    where = ("doc_id", "text_hash", "line_no")
+
+    def repeated():
+        return sorted(map(str, lines.repeated_lines(docs, native=True).select(*where).collect()))
+
+    whole = repeated()
+    assert whole
+    moved = []
+    monkeypatch.setattr(lines, "SLICE_TEXT", 1)
+    monkeypatch.setattr(lines, "BAND_ROWS", 1)
+    monkeypatch.setattr(lines, "BAND_SLICES", 3)
+    monkeypatch.setattr(lines, "release_shuffles", moved.append)
+    assert repeated() == whole
+    # After each slice of the lines and of the bands, and more often after these.
+    assert len(moved) > lines.SLICES + lines.BAND_SLICES
+    with lines.distinct_lines(lines._occurrences(docs, "doc_id", "text"), 3) as table:
+        got = {r.line: r.copies for r in table.collect()}
+    expected = Counter(x.strip() for _, t in rows for x in (t or "").split("\n") if x.strip())
+    assert got == expected
