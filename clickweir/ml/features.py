@@ -28,14 +28,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickweir.functions.columns import hash_bucket
 from clickweir.operators.joins import salted_join
 from clickweir.operators.quality import column_profile
-from clickweir.workspace import materialise
+from clickweir.workspace import materialise, release_shuffles, remove, scratch, shared_dir
 
 
 # Bytes of text a task takes whose words are counted: the counts of n-grams take some
 # 45 times as much memory.
 TASK_TEXT = 16 * 1024 * 1024
+# Terms are weighed in at most so many slices, of the n-grams of so many bytes of text at least.
+SLICES, SLICE_TEXT = 16, 32 * 1024 * 1024
 
 
 def column_roles(
@@ -174,6 +177,10 @@ def ngrams(tokens: Column, n: int) -> Column:
     return joined
 
 
+def _text_bytes(df: DataFrame, text: str) -> int:
+    return df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+
+
 def terms(df: DataFrame, key: str, text: str, n: int = 1) -> DataFrame:
     """``(key, term, tf)``: how often each n-gram occurs in each row's whole text.
 
@@ -182,7 +189,7 @@ def terms(df: DataFrame, key: str, text: str, n: int = 1) -> DataFrame:
     which are far more bytes, do not move at all. The number of tasks follows from
     the bytes of all texts, so what one of them holds does not grow with the table.
     """
-    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    size = _text_bytes(df, text)
     tasks = max(math.ceil(size / TASK_TEXT), df.sparkSession.sparkContext.defaultParallelism)
     dealt = df.select(key, text).repartition(tasks, key)
     listed = dealt.select(key, words(F.col(text)).alias("_words"))
@@ -203,15 +210,43 @@ def tfidf_table(
     are written once, since the frequencies and the result both need them.
     Terms that make up more than ``share`` of them are spread over several
     tasks in the join that brings the document frequency back.
+
+    The counts take several times the room of the texts, and more on their way to the
+    join. So they are written in slices of the terms, which are joined one after the
+    other; the result is written, and what a slice wrote and moved is deleted with its end.
     """
-    counted = materialise(terms(df, key, text, n))
+    spark = df.sparkSession
+    slices = max(1, min(SLICES, math.ceil(_text_bytes(df, text) / SLICE_TEXT)))
+    rows = df.agg(F.count("*")).first()[0]
+    found = terms(df, key, text, n)
+    part = "term_slice"
+    counts, joined = shared_dir(spark, "counts"), shared_dir(spark, "weighed")
+    found = found.withColumn(part, hash_bucket([F.col("term")], slices))
+    found.write.partitionBy(part).parquet(counts, compression="zstd")
+    release_shuffles(spark)
+    kinds = found.schema
+    pairs = spark.read.schema(kinds).parquet(counts).count()
+    for number in range(slices):
+        counted = spark.read.schema(kinds).parquet(counts).where(F.col(part) == number).drop(part)
+        with scratch(spark):
+            weighed = _with_frequency(counted, key, share * pairs)
+            weighed.write.parquet(joined, mode="append", compression="zstd")
+        remove(spark, f"{counts}/{part}={number}")
+        release_shuffles(spark)
+    remove(spark, counts)
+    weighed = spark.read.schema(weighed.schema).parquet(joined)
+    idf = F.log((F.lit(rows).cast("long") + 1) / (F.col("df") + 1))
+    return weighed.select(key, "term", "tf", "df", (F.col("tf") * idf).alias("tfidf"))
+
+
+def _with_frequency(counted: DataFrame, key: str, often: float) -> DataFrame:
+    """``counted`` with ``df``, the rows of the term; those of more than ``often`` are spread."""
     frequency = counted.groupBy("term").agg(F.count("*").alias("df"))
-    pairs = counted.agg(F.count("*")).scalar()
-    hot = frequency.where(F.col("df") > F.lit(share) * pairs).select("term")
-    rows = df.agg(F.count("*")).scalar()
+    frequency = materialise(frequency, compression="zstd")
+    release_shuffles(counted.sparkSession)
+    hot = frequency.where(F.col("df") > often).select("term")
     weighed = salted_join(counted, frequency, ["term"], hot=hot, spread_by=[key])
-    idf = F.log((rows + 1) / (F.col("df") + 1))
-    return weighed.select(key, "term", "tf", "df", (F.col("tf") * idf).alias("tfidf"))
+    return weighed.select(key, "term", "tf", "df")
 
 
 def mutual_information(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:

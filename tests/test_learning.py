@@ -71,6 +71,36 @@ def test_tfidf_with_hot_terms(spark):
     assert cold["tfidf"] == pytest.approx(math.log(51 / 2))
 
 
+def test_tfidf_in_slices_of_the_terms(spark, tmp_path, monkeypatch):
+    from collections import Counter
+
+    from clickweir import workspace
+
+    monkeypatch.setattr(workspace, "shared_base", lambda spark: str(tmp_path))
+    monkeypatch.setattr(features, "SLICE_TEXT", 16)
+    rows = [(i % 9, f"the word{i % 4} of the word{i}") for i in range(20)]
+    rows += [(None, "the word1"), (None, "The word1"), (30, None), (31, ""), (32, "one")]
+    df = spark.createDataFrame(rows, "id long, t string")
+    got = features.tfidf_table(df, "id", "t", n=2, share=0.02)
+    tf = Counter()
+    for key, text in rows:
+        ws = (text or "").lower().split()
+        tf.update((key, f"{a} {b}") for a, b in zip(ws, ws[1:]))
+    often = Counter(term for _, term in tf)
+    expected = {
+        (key, term): (n, often[term], round(n * math.log((len(rows) + 1) / (often[term] + 1)), 9))
+        for (key, term), n in tf.items()
+    }
+    found = got.collect()
+    assert len(found) == len(expected)
+    assert {(r.id, r.term): (r.tf, r.df, round(r.tfidf, 9)) for r in found} == expected
+    # Only the rows of the result stay: no counts, no frequencies.
+    left = [p for p in tmp_path.iterdir() if any(p.rglob("part-*"))]
+    assert [spark.read.parquet(str(p)).columns for p in left] == [["id", "term", "tf", "df"]]
+    nothing = features.tfidf_table(df.where("id > 99"), "id", "t")
+    assert nothing.count() == 0 and nothing.columns == ["id", "term", "tf", "df", "tfidf"]
+
+
 def test_mutual_information_of_known_cases(spark):
     df = spark.range(400).select(
         (F.col("id") % 2).alias("label"),
